@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from afterglow.llm import line_dedup
+from afterglow.llm import line_dedup, packing, sentencepiece_ops
 from afterglow.session import table
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file; looked up only when a query that needs it runs."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), size=2048, end_id=0)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = line_dedup.drop_common_lines(docs, min_documents=10, min_chars=1)
@@ -36,8 +47,16 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_ops.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), digest=True)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_ops.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_line_dedup": op5_line_dedup}
+    return {f.__name__: f for f in (op3_best_fit_packing, op5_line_dedup, op7_sentencepiece, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
