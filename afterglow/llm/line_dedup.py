@@ -12,8 +12,13 @@ STRIPPED = " \t\n\x0b\x0c\r"
 
 
 def line_key(line: Column) -> Column:
-    """The line stripped of ASCII white space at both ends, with A-Z lower-cased."""
-    return F.translate(F.btrim(line, F.lit(STRIPPED)), string.ascii_uppercase, string.ascii_lowercase)
+    """The line stripped of ASCII white space at both ends, with A-Z lower-cased.
+
+    `lower` has a fast path for ASCII and there changes A-Z only; other lines take `translate`.
+    """
+    stripped = F.btrim(line, F.lit(STRIPPED))
+    ascii_only = F.octet_length(line) == F.char_length(line)
+    return F.when(ascii_only, F.lower(stripped)).otherwise(F.translate(stripped, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def line_hash(line: Column, min_chars: int) -> Column:
@@ -35,7 +40,8 @@ def drop_common_lines(docs: DataFrame, min_documents: int = 10, min_chars: int =
 
     Lines are exploded only as (hash, document, position). Documents are counted for each hash with a
     map-side combine, so a line that a third of all documents share arrives as one row a task. Only the
-    occurrences of frequent lines come back to their documents; Spark may split a hot hash in that join.
+    occurrences of frequent lines come back to their documents; Spark may split a hot hash in that join. The outer
+    forms of explode keep Spark from hashing every line again for a filter that it would infer.
 
     Null or empty text: one line, the empty one, which `min_chars` > 0 never drops. Rows that repeat both doc_id
     and text count as one document and each keeps its row; a null doc_id is a key like any other. An empty table
@@ -46,7 +52,7 @@ def drop_common_lines(docs: DataFrame, min_documents: int = 10, min_chars: int =
     rows = docs.select(key.alias("__key"), F.struct(*named).alias("__row"))
     hashed = docs.select(key.alias("__key"), F.transform(lines_of(F.col(text)), lambda line: line_hash(line, min_chars)).alias("__hashes"))
     frequent = (
-        hashed.select("__key", F.explode(F.array_distinct("__hashes")).alias("__hash"))
+        hashed.select("__key", F.explode_outer(F.array_distinct("__hashes")).alias("__hash"))
         .filter(F.col("__hash").isNotNull())
         .groupBy("__hash")
         .agg(F.count_distinct("__key").alias("__documents"))
@@ -54,7 +60,7 @@ def drop_common_lines(docs: DataFrame, min_documents: int = 10, min_chars: int =
         .select("__hash")
     )
     dropped = (
-        hashed.select("__key", F.posexplode("__hashes").alias("__pos", "__hash"))
+        hashed.select("__key", F.posexplode_outer("__hashes").alias("__pos", "__hash"))
         .filter(F.col("__hash").isNotNull())
         .join(frequent, "__hash", "left_semi")
         .groupBy("__key")
