@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from afterglow.llm import factorisation, line_dedup, packing, quality, sentencepiece_ops
+from afterglow.llm import factorisation, line_dedup, packing, quality, sentencepiece_ops, simhash
 from afterglow.session import table
 
 
@@ -22,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), min_words=20, repeat_percent=30)
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), size=2048, end_id=0)
 
@@ -64,7 +68,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op7_sentencepiece, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op7_sentencepiece, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
