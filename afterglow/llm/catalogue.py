@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from afterglow.llm import factorisation, line_dedup, packing, quality, sentencepiece_ops, simhash
+from afterglow.llm import ctph, factorisation, line_dedup, packing, quality, sentencepiece_ops, simhash
 from afterglow.session import table
 
 
@@ -63,12 +63,16 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_ops.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), digest=True)
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_ops.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op7_sentencepiece, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op7_sentencepiece, op8_document_fingerprints, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
