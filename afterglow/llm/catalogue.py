@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from afterglow.llm import ctph, factorisation, line_dedup, packing, quality, sentencepiece_ops, simhash
+from afterglow.llm import ctph, factorisation, line_dedup, packing, quality, sentencepiece_ops, simhash, substring_dedup
 from afterglow.session import table
 
 
@@ -59,6 +59,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs, window=35).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_ops.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), digest=True)
 
@@ -72,7 +77,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op7_sentencepiece, op8_document_fingerprints, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op6_substring_dedup, op7_sentencepiece, op8_document_fingerprints, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
