@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from afterglow.llm import ctph, factorisation, line_dedup, packing, quality, sentencepiece_ops, simhash, substring_dedup
+from afterglow.llm import ctph, factorisation, html_extract, line_dedup, packing, quality, sentencepiece_ops, simhash, substring_dedup
 from afterglow.session import table
 
 
@@ -76,8 +76,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_ops.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op6_substring_dedup, op7_sentencepiece, op8_document_fingerprints, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op6_substring_dedup, op7_sentencepiece, op8_document_fingerprints, op9_token_counts, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
