@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Settings of a local session; on a cluster the submitter's own settings win.
 LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,12 +52,17 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` with a checkpoint in the folder that the cluster shares.
 
     `spark.checkpoint.dir` is read from the session; only where it is unset (tests on one machine)
-    a folder of our own is set.
+    a folder of our own is set. Shuffle files that led to the checkpoint go as soon as it is written.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="afterglow-checkpoint-"))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="afterglow-checkpoint-"))
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under that setting
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
