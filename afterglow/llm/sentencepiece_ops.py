@@ -14,6 +14,9 @@ from afterglow.llm import piece_bpe
 from afterglow.llm.rows import texts_of
 from afterglow.session import ship_package
 
+#: Documents whose new pre-tokens go to the library in one call.
+TOGETHER = 256
+
 
 def encode_documents(docs: DataFrame, model_path: str, digest: bool = False, text: str = "text") -> DataFrame:
     """Encode every whole text with the prefix table and decode the ids again: doc_id, n_tokens, and either
@@ -61,17 +64,23 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted: dict[str, int] = {}
         for batch in batches:
-            n_bytes, n_tokens = [], []
-            for value in texts_of(batch.column(1)):
-                frequency = Counter(piece_bpe.PRE_TOKEN.findall(piece_bpe.marked(value)))
-                new = frequency.keys() - counted.keys()
+            n_bytes, n_tokens, waiting = [], [], []
+
+            def count() -> None:
+                new = list({chunk for frequency in waiting for chunk in frequency if chunk not in counted})
                 if len(counted) + len(new) > piece_bpe.CACHE_ENTRIES:
                     counted.clear()
-                    new = frequency.keys()
-                if new:
-                    counted.update(piece_counts(list(new), model_path))
-                n_tokens.append(sum([n * counted[chunk] for chunk, n in frequency.items()]))
+                    new = list({chunk for frequency in waiting for chunk in frequency})
+                counted.update(piece_counts(new, model_path))
+                n_tokens.extend(sum([n * counted[chunk] for chunk, n in frequency.items()]) for frequency in waiting)
+                waiting.clear()
+
+            for value in texts_of(batch.column(1)):
                 n_bytes.append(len(value.encode("utf-8")))
+                waiting.append(Counter(piece_bpe.PRE_TOKEN.findall(piece_bpe.marked(value))))
+                if len(waiting) == TOGETHER:
+                    count()
+            count()
             tokens = pa.array(n_tokens, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), tokens, pa.array([n > limit for n in n_tokens], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
@@ -85,6 +94,8 @@ def piece_counts(chunks: list[str], model_path: str) -> dict[str, int]:
     The library puts a space mark before each text. It stands for the first mark of a pre-token that has one; others
     go behind a line feed, which nothing merges with, and lose the two ids of mark and line feed again.
     """
+    if not chunks:
+        return {}
     mark = piece_bpe.SPACE
     asked = [chunk[1:] if chunk[0] == mark else "\n" + chunk for chunk in chunks]
     ids = piece_bpe.library(model_path).encode(asked, num_threads=1)
