@@ -24,7 +24,7 @@ NORMAL, BYTE = 1, 6
 #: Pre-tokens of a text whose spaces are marks. A line feed is in no piece, so it is a border as well.
 PRE_TOKEN = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n+|[^{SPACE}\n]+")
 #: Pre-tokens that a worker keeps; beyond it the cache starts anew, so that memory stays bounded.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
 
 
 def marked(text: str) -> str:
