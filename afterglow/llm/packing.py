@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import array
 import bisect
+import json
 import re
 import sys
 import zlib
@@ -22,11 +23,13 @@ from afterglow.llm.rows import texts_of
 from afterglow.session import materialise, ship_package
 
 #: Distinct chunks of text whose ids a worker keeps; beyond it the cache starts anew.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 1_000_000
 #: A piece of text that byte-level pre-tokenisation never joins with its neighbours: white space and what follows.
 CHUNK = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 #: White space other than those four could join across such chunks; such texts are encoded whole.
 OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+#: Fixed value: the pattern of byte-level pre-tokenisation.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Salts that spread the documents of one length for ranking.
 SALTS = 64
 #: Patterns of up to this many documents are enumerated.
@@ -42,6 +45,26 @@ def little_endian(ids: list[int]) -> bytes:
     return data.tobytes()
 
 
+def byte_level_ranks(tokenizer) -> dict[bytes, int] | None:
+    """Bytes of each token of a byte-level BPE → its id, if ids are in the order of merging; else None.
+
+    Printable characters of Latin-1 stand for their own byte, the others for 256 and up in order of their bytes.
+    """
+    model = json.loads(tokenizer.to_str())
+    pre = model["pre_tokenizer"] or {}
+    if model["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
+        return None
+    printable = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174}
+    hidden = [b for b in range(256) if b not in printable]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    added = {t["content"] for t in model["added_tokens"]}
+    vocabulary = {t: i for t, i in model["model"]["vocab"].items() if t not in added}
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["model"]["merges"]]
+    if merged != sorted(merged) or len(vocabulary) != len(merged) + 256:
+        return None
+    return {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items()}
+
+
 class _Ids(dict):
     """Chunk of text → its ids as unsigned little-endian 32-bit numbers."""
 
@@ -51,9 +74,14 @@ class _Ids(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.encode = lambda chunk: self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        if ranks := byte_level_ranks(self.tokenizer):  # the same merges, with less work for a short chunk
+            import tiktoken
+
+            self.encode = tiktoken.Encoding("chunks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __missing__(self, chunk: str) -> bytes:
-        found = little_endian(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        found = little_endian(self.encode(chunk))
         self[chunk] = found
         return found
 

@@ -119,3 +119,12 @@ def test_packing_one_hot_length_and_empty(spark):
     rows = packing.pack(frame(spark, ["one two three"] * 500), BYTE_BPE, size=16).collect()
     assert len(rows) == 500 and check_sequences(rows, 16) == 125
     assert packing.pack(frame(spark, []), BYTE_BPE).collect() == []
+
+
+def test_chunks_encode_as_the_tokenizer_does_on_random_text():
+    tokenizer, cache, rng = Tokenizer.from_file(BYTE_BPE), packing._ids(BYTE_BPE), random.Random(4)
+    assert packing.byte_level_ranks(tokenizer) is not None
+    alphabet = list("abcst'  \n\n\r\t.,!1²é世😀\x1c\xa0 \x85İ") + ["the", " th", "  ", "'ll", "<|endoftext|>"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14)))
+        assert packing.token_ids(text, BYTE_BPE).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
