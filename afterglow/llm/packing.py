@@ -23,14 +23,14 @@ from afterglow.llm.rows import texts_of
 from afterglow.session import materialise, ship_package
 
 #: Distinct chunks of text whose ids a worker keeps; beyond it the cache starts anew.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 400_000
 #: A piece of text that byte-level pre-tokenisation never joins with its neighbours: white space and what follows.
 CHUNK = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 #: White space other than those four could join across such chunks; such texts are encoded whole.
 OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 #: Fixed value: the pattern of byte-level pre-tokenisation.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Salts that spread the documents of one length for ranking.
+#: Salts, at least, that spread the documents of one length for ranking; as many as shuffle partitions if those are more.
 SALTS = 64
 #: Patterns of up to this many documents are enumerated.
 PATTERN_PARTS = 3
@@ -270,25 +270,21 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0
     A document is its ids and `end_id`. Only documents longer than `size` are cut, into pieces of `size` of which the
     first may be shorter. The driver sees a histogram of at most `size` lengths and plans patterns from it; a piece takes
     the place of its rank among the pieces of its length. Ranks come from counts by (length, salt) and a rank within each
-    of `SALTS` salts, so no length gathers in one task.
+    salt, so no length gathers in one task.
 
     A null text is empty and takes one token. Repeated rows and null doc_ids are documents of their own; an empty table
     gives no rows. Other columns of `docs` are not read.
     """
     spark = docs.sparkSession
-    pieces = materialise(pieces_of(docs, tokenizer_path, size, end_id, text, with_ids).withColumn("salt", F.pmod(F.xxhash64("row_hash", "piece", "ids_crc32"), F.lit(SALTS)).cast("int")))
-    by_salt = pieces.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    counted = by_salt.collect()  # at most size × SALTS rows
+    salts = max(SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pieces = materialise(pieces_of(docs, tokenizer_path, size, end_id, text, with_ids).withColumn("salt", F.pmod(F.xxhash64("row_hash", "piece", "ids_crc32"), F.lit(salts)).cast("int")))
+    by_salt = materialise(pieces.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")))
     histogram = np.zeros(size + 1, np.int64)
-    for row in counted:
-        histogram[row["length"]] += row["n"]
-    before: list[tuple[int, int, int]] = []
-    seen: dict[int, int] = defaultdict(int)
-    for row in sorted(counted, key=lambda r: (r["length"], r["salt"])):
-        before.append((row["length"], row["salt"], seen[row["length"]]))
-        seen[row["length"]] += row["n"]
+    for row in by_salt.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `size` rows
+        histogram[row["length"]] = row["n"]
     places = spark.sparkContext.broadcast(slots(plan_sequences(histogram, size)))
-    ahead = F.broadcast(spark.createDataFrame(before, "length long, salt int, before long"))  # at most size × SALTS rows
+    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)  # at most one row a salt
+    ahead = by_salt.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     within = Window.partitionBy("length", "salt").orderBy("row_hash", "piece", "ids_crc32")
     ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(ahead, ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("before"))
 
