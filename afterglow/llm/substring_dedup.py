@@ -7,19 +7,19 @@ weighted by how often each occurs, is streamed with the segments, and the matchi
 twice. Anchors seen once in the corpus are never looked at again.
 
 Broadcasting every shard to every document would cost the square of the corpus, so a document's segments are routed to the
-shards they can match. A shard holds at most SHARD_SEGMENTS different segments; an anchor with more of them is too common,
-and its windows are counted one by one in another grouped pass, which is exact as well.
+shards they can match. Where all segments of an anchor are equal, each window occurs as often as the anchor, and no text is
+fetched. A shard holds at most SHARD_SEGMENTS occurrences; an anchor with more is too common, and the windows of its
+different segments are counted one by one in another grouped pass, which is exact as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import hashlib
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +27,14 @@ from afterglow.llm import textblocks as tb
 from afterglow.llm.rows import raw_texts
 from afterglow.session import materialise, ship_package
 
-#: Different segments of one anchor that a shard holds at most.
-SHARD_SEGMENTS = 256
+#: Segments of one anchor, repeated ones included, that a shard holds at most.
+SHARD_SEGMENTS = 1_000
 #: Windows that a segment can have; they are told apart by the bits of a long.
 MAX_WINDOWS = 62
 
 
 def anchor_width(window: int) -> int:
-    return max(window // 2 - 1, window - MAX_WINDOWS + 1, 1)
+    return max(window // 4, window - MAX_WINDOWS + 1, 1)
 
 
 class SuffixAutomaton:
@@ -142,107 +142,109 @@ def anchors(block: tb.Block, window: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return starts, at[starts], best[starts]
 
 
-def segments(block: tb.Block, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: first window, number of windows, the anchor's hash, and the text."""
+@dataclass
+class Segments:
+    """Runs of windows with one anchor: first word, number of windows, the anchor's hash, a hash of all words, and the text."""
+
+    first: np.ndarray
+    count: np.ndarray
+    anchor: np.ndarray
+    words: np.ndarray
+    text: np.ndarray
+
+
+def segments(block: tb.Block, window: int) -> Segments:
     starts, at, grams = anchors(block, window)
-    if not len(starts):
-        empty = np.zeros(0, np.int64)
-        return empty, empty, grams, empty
-    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
-    return starts[new], np.diff(np.append(new, len(starts))), grams[new], block.word_text[starts[new]]
+    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)])) if len(starts) else np.zeros(0, np.int64)
+    first, count = starts[new], np.diff(np.append(new, len(starts)))
+    return Segments(first, count, grams[new], tb.range_hashes(block.word_hashes, first, first + count + window - 1), block.word_text[first])
+
 
+def key_columns(text: str) -> list:
+    """96 bits that stand for a row: of its id and its text together, and of its id."""
+    return [F.xxhash64("doc_id", text).alias("__k1"), F.hash("doc_id").alias("__k2")]
 
-def _lists(values: np.ndarray, text: np.ndarray, n: int) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(values.view(np.int64)))
+
+KEY = ["__k1", "__k2"]
 
 
 def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> DataFrame:
     """All rows and columns of `docs`, plus `kept_text`, `n_words` and `n_removed`.
 
-    Words are runs outside [\\\\x20\\\\x09-\\\\x0D], compared unchanged. A word goes if a window of `window` words that covers it
+    Words are runs outside [\\x20\\x09-\\x0D], compared unchanged. A word goes if a window of `window` words that covers it
     also starts anywhere else in the corpus, the same document included; windows are judged on the input. The words that
     stay are joined by one space.
 
     A null text has no words. Each row is a document: rows that are wholly equal repeat each other. A null doc_id is a key
     like any other; an empty table gives an empty result. Columns of the same name as a new one are replaced.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     named = [c for c in docs.columns if c not in ("kept_text", "n_words", "n_removed")]
-    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.col(text)).alias("hash"))
-    rows = docs.select(key.alias("__key"), F.struct(*named).alias("__row"))
-    key_type = rows.schema["__key"].dataType.simpleString()
 
-    def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in tb.blocks(batch.column(2)):
+                found = segments(block, window)
+                place = (found.first - block.word_edges[found.text]) << 8 | found.count
+                at = pa.array(found.text + block.rows[0])
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(place), pa.array(found.anchor.view(np.int64)), pa.array(found.words.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "place", "anchor", "words"])
+
+    each = docs.select(*key_columns(text), F.col(text)).mapInArrow(find, "__k1 long, __k2 int, place long, anchor long, words long")
+    # anchors seen twice, and whether what lies around them is always the same
+    seen = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("least"), F.max("words").alias("most")).filter("n > 1")
+    known = seen.select("anchor", (F.col("least") == F.col("most")).alias("equal"), (F.col("n") > SHARD_SEGMENTS).alias("crowded"))
+    hits = materialise(each.join(known, "anchor"))
+    alike = hits.filter("equal").select(*KEY, F.shiftright("place", 8).alias("start"), (F.expr("shiftleft(1L, cast(place & 255 as int))") - 1).alias("mask"))
+    unlike = hits.filter("NOT equal")
+
+    # the documents dealt by key once: for the texts of unlike segments, and for the removal
+    dealt = docs.select(*key_columns(text), *named).repartition(n, *KEY)
+    wanted = unlike.groupBy(*KEY).agg(F.collect_set(F.struct("anchor", "crowded")).alias("wanted"))
+    texts = dealt.select(*KEY, F.col(text).alias("__text")).join(wanted, KEY)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in tb.blocks(batch.column(1)):
-                _, _, grams, of = segments(block, window)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.rows[0], block.n), _lists(grams, of, block.n)], names=["key", "anchors"])
-
-    found = materialise(docs.select(key.alias("key"), F.col(text)).mapInArrow(find_anchors, f"key {key_type}, anchors array<long>"))
-    each = found.select("key", F.explode("anchors").alias("anchor"))
-    common = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    shared = each.join(common, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("shared"))
-    candidates = rows.join(shared, rows["__key"] == shared["key"]).select("__key", F.col(f"__row.{text}").alias("__text"), "shared")
-
-    def cut(with_text: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                wanted = batch.column(2)
-                for block in tb.blocks(batch.column(1)):
-                    first, count, grams, of = segments(block, window)
-                    lists = wanted.slice(block.rows[0], block.n)
-                    edges = lists.offsets.to_numpy()
-                    known, owner = lists.values.to_numpy()[edges[0] : edges[-1]].view(np.uint64), np.repeat(np.arange(block.n), np.diff(edges))
-                    # (text, anchor) pairs in both lists, by a merge of sorted pairs
-                    mine, theirs = np.rec.fromarrays([of, grams], names="t,g"), np.rec.fromarrays([owner, known], names="t,g")
-                    here = np.flatnonzero(np.isin(mine.view(np.dtype((np.void, 16))), theirs.view(np.dtype((np.void, 16)))))
-                    starts, ends = block.words
-                    out: list[list] = [[], [], [], []]
-                    data = block.data.tobytes()
-                    for i in here.tolist():
-                        a, b = int(first[i]), int(first[i] + count[i]) + window - 2
-                        words = data[starts[a] : ends[b]].split()
-                        piece = b" ".join(words)
-                        if with_text:
-                            out[2].append(piece)
-                        else:
-                            out[0].append(int(of[i]))
-                            out[1].append(a - int(block.word_edges[of[i]]))
-                            out[3].append(xxhash.xxh3_128_digest(piece))
-                    if with_text:
-                        yield pa.RecordBatch.from_arrays([pa.array(grams[here].view(np.int64)), pa.array(out[2], pa.binary())], names=["anchor", "piece"])
-                    else:
-                        keys = batch.column(0).slice(block.rows[0], block.n).take(pa.array(out[0], pa.int64()))
-                        yield pa.RecordBatch.from_arrays([keys, pa.array(out[1], pa.int32()), pa.array(out[3], pa.binary())], names=["key", "start", "id"])
-
-        return run
-
-    pieces = candidates.mapInArrow(cut(True), "anchor long, piece binary").groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"))
-    crowded = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SHARD_SEGMENTS).select("anchor")
-    judged = _by_automata(pieces.join(crowded, "anchor", "left_anti"), window).unionAll(_by_window(pieces.join(crowded, "anchor", "left_semi"), window))
-    places = candidates.mapInArrow(cut(False), f"key {key_type}, start int, id binary")
-    gone = places.join(judged, "id").groupBy("key").agg(F.collect_set(F.struct("start", "mask")).alias("gone")).withColumnRenamed("key", "__of")
-    out = rows.join(gone, rows["__key"] == gone["__of"], "left").select("__row", "gone")
+            for block in tb.blocks(batch.column(0)):
+                lists = batch.column(1).slice(block.rows[0], block.n)
+                edges = lists.offsets.to_numpy()
+                inner = lists.values.slice(edges[0], edges[-1] - edges[0])
+                crowded = {(t, a): c for t, a, c in zip(np.repeat(np.arange(block.n), np.diff(edges)).tolist(), inner.field(0).to_pylist(), inner.field(1).to_pylist(), strict=True)}
+                found = segments(block, window)
+                starts, ends = block.words
+                data = block.data.tobytes()
+                out: list[list] = [[], [], [], []]
+                for t, anchor, words, a, size in zip(found.text.tolist(), found.anchor.view(np.int64).tolist(), found.words.view(np.int64).tolist(), found.first.tolist(), found.count.tolist(), strict=True):
+                    common = crowded.get((t, anchor))
+                    if common is not None:
+                        piece = b" ".join(data[starts[a] : ends[a + size + window - 2]].split())
+                        for column, v in zip(out, (anchor, words, piece, common), strict=True):
+                            column.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.bool_()), strict=True)], names=["anchor", "words", "piece", "crowded"])
+
+    pieces = texts.select("__text", "wanted").mapInArrow(cut, "anchor long, words long, piece binary, crowded boolean").groupBy("anchor", "words", "piece", "crowded").agg(F.count(F.lit(1)).alias("n"))
+    judged = materialise(_judged(pieces, window))
+    counted = judged.filter("window IS NOT NULL")
+    twice = counted.groupBy("window").agg(F.sum("n").alias("n")).filter("n > 1").select("window")
+    by_window = counted.join(twice, "window", "left_semi").groupBy("anchor", "words").agg(F.bit_or("mask").alias("mask"))
+    masks = judged.filter("window IS NULL").select("anchor", "words", "mask").unionAll(by_window)
+    partly = unlike.join(masks, ["anchor", "words"]).select(*KEY, F.shiftright("place", 8).alias("start"), "mask")
+    gone = alike.unionAll(partly).groupBy(*KEY).agg(F.collect_set(F.struct("start", "mask")).alias("__gone"))
+    out = dealt.join(gone, KEY, "left").select(*named, "__gone")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row = batch.column(0)
             texts, counts, removed = [], [], []
-            for value, spans in zip(raw_texts(row.field(named.index(text))), batch.column(1).to_pylist(), strict=True):
+            for value, spans in zip(raw_texts(batch.column(named.index(text))), batch.column(len(named)), strict=True):
                 words = value.split()
                 counts.append(len(words))
-                if spans:
-                    flags = np.zeros(len(words), bool)
-                    for span in spans:
-                        flags[[span["start"] + i for i in range(MAX_WINDOWS) if span["mask"] >> i & 1]] = True
-                    drop = tb.covered(flags, window, len(words))
-                    removed.append(int(drop.sum()))
-                    words = [words[i] for i in np.flatnonzero(~drop).tolist()]
-                else:
-                    removed.append(0)
-                texts.append(b" ".join(words))
+                drop = covered_words(spans, window, len(words))
+                removed.append(int(drop.sum()))
+                texts.append(b" ".join([words[i] for i in np.flatnonzero(~drop).tolist()]) if removed[-1] else b" ".join(words))
             extra = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*(row.field(i) for i in range(len(named))), *extra], names=[*named, "kept_text", "n_words", "n_removed"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(named)], *extra], names=[*named, "kept_text", "n_words", "n_removed"])
 
     schema = docs.select(*named).schema
     for name, kind in (("kept_text", "string"), ("n_words", "long"), ("n_removed", "long")):
@@ -250,50 +252,53 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Da
     return out.mapInArrow(remove, schema)
 
 
-def _by_automata(pieces: DataFrame, window: int) -> DataFrame:
-    """(id, mask) of the pieces with a window that occurs twice; the rows of an anchor lie together in one partition."""
+def covered_words(spans: pa.ListScalar, window: int, total: int) -> np.ndarray:
+    """Words covered by the repeated windows of (first word, mask of windows from there)."""
+    if not spans.is_valid or not total:
+        return np.zeros(total, bool)
+    start, mask = spans.values.field(0).to_numpy(), spans.values.field(1).to_numpy()
+    bits = (mask[:, None] >> np.arange(MAX_WINDOWS)) & 1
+    row, bit = np.nonzero(bits)
+    flags = np.zeros(total, bool)
+    flags[start[row] + bit] = True
+    return tb.covered(flags, window, total)
+
+
+def _judged(pieces: DataFrame, window: int) -> DataFrame:
+    """(anchor, words, mask) of segments with repeated windows, from the automata of their shards.
+
+    The rows of an anchor lie together in one partition. Those of crowded anchors are spread by their text instead, and
+    give a row for each window: its bit in `mask`, a digest of it, and how often the segment occurs.
+    """
+    columns = ["anchor", "words", "mask", "window", "n"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard: list[tuple[bytes, int]] = []
+        shard: list[tuple[int, bytes, int]] = []
         of = None
         for batch in batches:
-            ids, masks = [], []
-            for anchor, piece, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            out: list[tuple] = []
+            for anchor, words, piece, crowded, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if crowded:
+                    parts = piece.split(b" ")
+                    out += [(anchor, words, 1 << i, hashlib.md5(b" ".join(parts[i : i + window])).digest(), n) for i in range(len(parts) - window + 1)]
+                    continue
                 if anchor != of:
-                    _judge(shard, window, ids, masks)
+                    out += _judge(of, shard, window)
                     shard, of = [], anchor
-                shard.append((piece, n))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(masks, pa.int64())], names=["id", "mask"])
-        ids, masks = [], []
-        _judge(shard, window, ids, masks)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(masks, pa.int64())], names=["id", "mask"])
+                shard.append((words, piece, n))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=columns)
+        out = _judge(of, shard, window)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=columns)
 
     n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pieces.repartition(n, "anchor").sortWithinPartitions("anchor", "piece").mapInArrow(run, "id binary, mask long")
-
+    spread = F.when(F.col("crowded"), F.xxhash64("piece"))
+    dealt = pieces.withColumn("spread", spread).repartition(n, "anchor", "spread").sortWithinPartitions("anchor", "piece")
+    return dealt.select("anchor", "words", "piece", "crowded", "n").mapInArrow(run, "anchor long, words long, mask long, window binary, n long")
 
-def _judge(shard: list[tuple[bytes, int]], window: int, ids: list, masks: list) -> None:
-    if not shard or len(shard) == 1 and shard[0][1] < 2:
-        return
-    for (piece, _), mask in zip(shard, repeated_windows([(p.split(b" "), n) for p, n in shard], window), strict=True):
-        if mask:
-            ids.append(xxhash.xxh3_128_digest(piece))
-            masks.append(mask)
 
-
-def _by_window(pieces: DataFrame, window: int) -> DataFrame:
-    """(id, mask) for anchors with more segments than a shard holds: their windows are counted one by one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for piece, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words, own = piece.split(b" "), xxhash.xxh3_128_digest(piece)
-                for i in range(len(words) - window + 1):
-                    for column, v in zip(out, (own, i, hashlib.md5(b" ".join(words[i : i + window])).digest(), n), strict=True):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["id", "i", "window", "n"])
-
-    each = pieces.select("piece", "n").mapInArrow(run, "id binary, i int, window binary, n long")
-    twice = each.groupBy("window").agg(F.sum("n").alias("n")).filter("n > 1").select("window")
-    return each.join(twice, "window", "left_semi").groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
+def _judge(anchor: int | None, shard: list[tuple[int, bytes, int]], window: int) -> list[tuple]:
+    if not shard:
+        return []
+    masks = repeated_windows([(piece.split(b" "), n) for _, piece, n in shard], window)
+    return [(anchor, words, mask, None, n) for (words, _, n), mask in zip(shard, masks, strict=True) if mask]

@@ -54,6 +54,13 @@ def rolled(values: np.ndarray, width: int) -> np.ndarray:
     return mixed((sums[width:] - sums[:-width]) * powers(_BASE_INVERSE, n - width + 1))
 
 
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each range of values."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(_BASE, len(values)), out=sums[1:])
+    return mixed((sums[end] - sums[start]) * powers(_BASE_INVERSE, len(values) + 1)[start] + (end - start).astype(np.uint64))
+
+
 @dataclass
 class Block:
     rows: np.ndarray  #: places of the texts in their batch
