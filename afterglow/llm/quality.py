@@ -15,6 +15,8 @@ from afterglow.session import ship_package
 
 #: Labelled rows, at most, that the forest is fitted and calibrated on.
 SAMPLE_ROWS = 20_000
+#: Share of bad rows in the sample of a tree.
+BAD_SHARE = 0.04
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: What the forest splits on. Plain length is no part of it: the base rules judge that.
 RATIOS = ("symbol_share", "dup_line_share", "repeat_word_share", "word_length", "upper_share", "mark_share", "same_next_share", "top_word_share")
@@ -71,6 +73,19 @@ def statistics(block: tb.Block) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return base, ratios
 
 
+def telling(rows: np.ndarray, good: np.ndarray | None) -> np.ndarray:
+    """For each statistic, how far its ranks alone part good from bad rows, 0.02 at least; the same for all without labels."""
+    if good is None or good.all() or not good.any():
+        return np.ones(rows.shape[1])
+    out = []
+    for column in rows.T:
+        values = np.sort(column)
+        rank = (np.searchsorted(values, column, "left") + np.searchsorted(values, column, "right")) / 2
+        area = (rank[~good].mean() - rank[good].mean()) / len(rows) + 0.5
+        out.append(abs(2 * area - 1) + 0.02)
+    return np.array(out)
+
+
 @dataclass
 class IsolationForest:
     """Trees of random cuts; few cuts isolate an anomalous row."""
@@ -89,14 +104,22 @@ class IsolationForest:
         return np.where(n > 2, 2 * (np.log(big - 1) + 0.5772156649) - 2 * (big - 1) / big, np.where(n == 2, 1.0, 0.0))
 
     @classmethod
-    def fit(cls, rows: np.ndarray, trees: int = 200, sample: int = 256, seed: int = 7) -> IsolationForest:
+    def fit(cls, rows: np.ndarray, good: np.ndarray | None = None, trees: int = 200, sample: int = 512, seed: int = 7) -> IsolationForest:
+        """Trees over samples of the rows. With labels, bad rows are thinned to BAD_SHARE of each sample, as rows that are
+        many and alike are not isolated by few cuts, and statistics are drawn for cuts by how well each alone tells the labels."""
         rng = np.random.default_rng(seed)
         sample = min(sample, len(rows))
+        bad = np.zeros(0, int) if good is None or good.all() else np.flatnonzero(~good)
+        rest = np.arange(len(rows)) if not len(bad) or len(bad) == len(rows) else np.flatnonzero(good)
+        n_bad = min(len(bad), max(1, round(BAD_SHARE * sample))) if len(rest) < len(rows) else 0
+        n_rest = min(len(rest), sample - n_bad)
+        sample = n_bad + n_rest
+        odds = telling(rows, good)
         depth = max(1, int(np.ceil(np.log2(max(sample, 2)))))
         nodes = 2 ** (depth + 1) - 1
         feature, cut, length = np.full((trees, nodes), -1), np.zeros((trees, nodes)), np.zeros((trees, nodes))
         for t in range(trees):
-            inside = {0: rows[rng.choice(len(rows), sample, replace=False)]}
+            inside = {0: rows[np.concatenate([rng.choice(rest, n_rest, replace=False), rng.choice(bad, n_bad, replace=False) if n_bad else bad[:0]])]}
             for node in range(nodes):
                 here = inside.pop(node, None)
                 if here is None:
@@ -107,7 +130,7 @@ class IsolationForest:
                 if level == depth or len(here) < 2 or not len(wide):
                     length[t, node] = level + cls.rest(len(here))
                     continue
-                f = rng.choice(wide)
+                f = rng.choice(wide, p=odds[wide] / odds[wide].sum())
                 feature[t, node], cut[t, node] = f, rng.uniform(low[f], high[f])
                 left = here[:, f] < cut[t, node]
                 inside[2 * node + 1], inside[2 * node + 2] = here[left], here[~left]
@@ -155,7 +178,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, text: str, *e
     return docs.select("doc_id", F.col(text).alias("__text"), *extra).join(F.broadcast(picked), "doc_id").limit(rows)
 
 
-def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 200, tree_sample: int = 256, text: str = "text") -> IsolationForest | None:
+def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 200, tree_sample: int = 512, text: str = "text") -> IsolationForest | None:
     """The forest of the rule statistics of at most `sample_rows` labelled documents; None without any."""
     ship_package(docs.sparkSession)
 
@@ -171,7 +194,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
         return None
     rows, good = np.array([r["ratios"] for r in found]), np.array([r["quality"] == 1 for r in found])
     order = np.lexsort((good, *rows.T))  # whatever order the tasks came in
-    forest = IsolationForest.fit(rows[order], trees, tree_sample)
+    forest = IsolationForest.fit(rows[order], good[order], trees, tree_sample)
     forest.calibrate(rows[order], good[order])
     return forest
 
