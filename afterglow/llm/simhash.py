@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from afterglow.llm.rows import raw_texts
@@ -17,7 +17,6 @@ from afterglow.session import materialise, ship_package
 SEED = 42
 #: A bucket with more different fingerprints than this is covered again on the bits its members may differ in.
 BUCKET_LIMIT = 256
-MASKS_FOR_RADIUS_2 = 7
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -63,29 +62,27 @@ def fingerprints(docs: DataFrame, width: int, text: str) -> DataFrame:
     return docs.select("doc_id", F.col(text)).mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
-def covering_masks(bits: list[int]) -> list[int]:
-    """Seven masks over the given bits so that any two of the bits are both outside one of them.
+def covering_masks(bits: list[int], radius: int = 2) -> list[int]:
+    """2^(radius+1) - 1 masks over the given bits so that any `radius` of the bits are all outside one of them.
 
-    Each bit carries a nonzero vector of three bits, in turn; mask v keeps the bits whose vector has an odd product
-    with v. Two vectors span at most a plane, so some nonzero v is orthogonal to both: every pair of numbers that differ
-    in two or fewer of the bits agrees under that mask.
+    Each bit carries a nonzero vector of radius + 1 bits, in turn; mask v keeps the bits whose vector has an odd product
+    with v. So many vectors span less than the whole space, so some nonzero v is orthogonal to all of them: numbers that
+    differ in `radius` or fewer of the bits agree under that mask.
     """
-    masks = []
-    for v in range(1, MASKS_FOR_RADIUS_2 + 1):
-        masks.append(sum(1 << b for i, b in enumerate(bits) if ((i % 7 + 1) & v).bit_count() & 1))
-    return masks
+    size = (2 << radius) - 1
+    return [sum(1 << b for i, b in enumerate(bits) if ((i % size + 1) & v).bit_count() & 1) for v in range(1, size + 1)]
 
 
-def tables(depth: int) -> list[tuple[int, ...]]:
+def tables(depth: int, radius: int = 2) -> list[int]:
     """Kept bits of each table: covered once, or again on the bits left over, `depth` times."""
     found = [0]
     for _ in range(depth):
-        found = [kept | mask for kept in found for mask in covering_masks([b for b in range(64) if not kept >> b & 1])]
+        found = [kept | mask for kept in found for mask in covering_masks([b for b in range(64) if not kept >> b & 1], radius)]
     return sorted(set(found))
 
 
-def _links_in(values: np.ndarray) -> list[tuple[int, int]]:
-    """(value, smallest value linked to it in the bucket) for values within two bits of each other, transitively."""
+def _links_in(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """(value, smallest value linked to it in the bucket) for values within the radius of each other, transitively."""
     parent = np.arange(len(values))
 
     def root(i: int) -> int:
@@ -96,7 +93,7 @@ def _links_in(values: np.ndarray) -> list[tuple[int, int]]:
 
     unsigned = values.view(np.uint64)
     for i in range(len(values) - 1):
-        near = np.flatnonzero(np.bitwise_count(unsigned[i + 1 :] ^ unsigned[i]) <= 2)
+        near = np.flatnonzero(np.bitwise_count(unsigned[i + 1 :] ^ unsigned[i]) <= radius)
         for j in near + i + 1:
             a, b = root(i), root(int(j))
             if a != b:
@@ -104,18 +101,18 @@ def _links_in(values: np.ndarray) -> list[tuple[int, int]]:
     return [(int(values[i]), int(values[r])) for i in range(len(values)) if (r := root(i)) != i]
 
 
-def links(found: DataFrame) -> DataFrame:
-    """Edges (a, b) that join all different fingerprints within two bits of each other, as star-shaped groups a bucket.
+def links(found: DataFrame, radius: int = 2) -> DataFrame:
+    """Edges (a, b) that join all different fingerprints within `radius` bits of each other, as star-shaped groups a bucket.
 
     Every pair within the radius meets in a bucket of some covering mask. A bucket larger than BUCKET_LIMIT goes to
-    tables that also cover the bits its members may still differ in: 36 kept bits, then 52, then 60, where a bucket has
-    at most 16 different members. No bucket is cut, and none is compared when it is large.
+    tables that also cover the bits its members may still differ in: for radius 2, 36 kept bits, then 52, then 60, where
+    a bucket has at most 16 different members; for larger radii about 32, then 48. No bucket is cut.
     """
     edges = None
-    levels = 3
+    levels = 3 if radius <= 2 else 2
     rows = found.select("fp")
     for depth in range(1, levels + 1):
-        masks = tables(depth)
+        masks = tables(depth, radius)
         keyed = rows.select("fp", F.explode(F.array([F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for i, m in enumerate(masks)])).alias("x")).select("fp", "x.t", "x.k")
         sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         shared = keyed.join(sizes, ["t", "k"])
@@ -124,7 +121,7 @@ def links(found: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                pairs = [p for members in batch.column(0) for p in _links_in(members.values.to_numpy())]
+                pairs = [p for members in batch.column(0) for p in _links_in(members.values.to_numpy(), radius)]
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
         here = buckets.mapInArrow(run, "a long, b long")
@@ -162,10 +159,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, text: str = "text") -> DataFrame:
+def components_of(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id) of the fingerprints of `rows`, which have doc_id and fp."""
+    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    # fingerprints linked to others, with the root of their component
+    rooted = components(links(distinct, radius))
+    roots = distinct.join(rooted, distinct["fp"] == rooted["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    smallest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+    return roots.join(smallest, "root").select("fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row.
 
-    Fingerprints are the majority bits of XXH64 of word shingles; two link at two or fewer differing bits, and
+    Fingerprints are the majority bits of XXH64 of word shingles; two link at `radius` or fewer differing bits, and
     component_id is the smallest doc_id reachable. Equal fingerprints are joined to one before anything else, so
     copies never meet in pairs; links are searched among different fingerprints by covering hashing.
 
@@ -174,13 +181,19 @@ def near_duplicates(docs: DataFrame, width: int = 3, text: str = "text") -> Data
     Other columns of `docs` are not read.
     """
     rows = materialise(fingerprints(docs, width, text))
-    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    # fingerprints linked to others, with the root of their component
-    rooted = components(links(distinct))
-    roots = distinct.join(rooted, distinct["fp"] == rooted["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = roots.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", hexed(F.col("fp")).alias("fingerprint"), "component_id")
+    return rows.join(components_of(rows, radius), "fp").select("doc_id", hexed(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, text: str = "text") -> DataFrame:
+    """The rows of `docs` with all columns, one document of each group of near duplicates: that of the smallest doc_id.
+
+    Of rows that repeat a doc_id one stays. Rows with a null doc_id cannot stand for a group and all stay.
+    """
+    rows = materialise(fingerprints(docs.filter(F.col("doc_id").isNotNull()), width, text))
+    stay = rows.join(components_of(rows, radius), "fp").filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(text), text)
+    kept = docs.join(stay, docs["doc_id"] == stay["__id"], "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def hexed(fp: Column) -> Column:

@@ -19,11 +19,11 @@ def brute_fingerprint(text):
     return out
 
 
-def brute_components(fps):
+def brute_components(fps, radius=2):
     root = list(range(len(fps)))
     for _ in fps:
         for i, j in itertools.combinations(range(len(fps)), 2):
-            if (fps[i] ^ fps[j]).bit_count() <= 2:
+            if (fps[i] ^ fps[j]).bit_count() <= radius:
                 root[i] = root[j] = min(root[i], root[j])
     return root
 
@@ -34,6 +34,13 @@ def test_masks_cover_every_pair_of_bits():
         for i, j in itertools.combinations_with_replacement(range(64), 2):
             assert any(not m >> i & 1 and not m >> j & 1 for m in masks)
     assert min(m.bit_count() for m in simhash.tables(3)) >= 58
+    rng = np.random.default_rng(1)
+    for radius in (3, 5):
+        masks = simhash.tables(1, radius)
+        assert len(masks) == 2 ** (radius + 1) - 1
+        for bits in rng.integers(0, 64, (500, radius)).tolist():
+            differing = sum(1 << b for b in set(bits))
+            assert any(not m & differing for m in masks)
 
 
 def test_documents_match_brute_force(spark):
@@ -79,3 +86,16 @@ def test_nulls_repeats_and_empty(spark):
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect()), key=str)
     assert got == [(7, 7), (7, 7), (None, 7), (None, None)]
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_keep_one_of_each_group(spark):
+    base = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(5)]
+    rows = [(10 * i, t, "c") for i, t in enumerate(base)] + [(10 * i + 1, t.replace(f"w{i}x150", "edit"), "c") for i, t in enumerate(base)]
+    rows += [(7, base[0], "c"), (7, base[0], "c"), (2, "", "c"), (3, None, "c"), (None, "", "c"), (None, base[1], "c")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, fp string")).collect()
+    named = sorted({(i, t or "") for i, t, _ in rows if i is not None})
+    fps = [simhash.fingerprint(simhash.shingle_hashes(t.encode(), 5)) for _, t in named]
+    want = {named[j][0] for i, j in enumerate(brute_components(fps, 5)) if i == j}
+    assert want >= {0, 2, 10, 20, 30, 40} and 7 not in want and len(want) < 10
+    assert sorted((r.doc_id for r in got), key=str) == sorted([*want, None, None], key=str)
+    assert {r.fp for r in got} == {"c"}
