@@ -11,16 +11,14 @@ def exact_median(value: Column) -> Column:
     return F.percentile(value, 0.5)
 
 
-def nearest_rank(value: Column, share: float) -> Column:
-    """The value at rank ceil(n · share) of the sorted values, nulls left out."""
-    ordered = F.array_sort(F.collect_list(value))
-    return F.try_element_at(ordered, F.ceil(F.size(ordered) * F.lit(share)).cast("int"))
+def nearest_rank(column: str, share: float) -> Column:
+    """The value at rank ceil(n · share) of a column's sorted values, nulls left out; merged from counts of values."""
+    return F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY `{column}`)")
 
 
-def upper_median(value: Column) -> Column:
-    """The value at place n // 2 of the sorted values, counted from zero."""
-    ordered = F.array_sort(F.collect_list(value))
-    return F.try_element_at(ordered, F.floor(F.size(ordered) / 2).cast("int") + 1)
+def upper_median(column: str) -> Column:
+    """The value at place n // 2 of the sorted values, counted from zero: the middle rank from above."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
 
 
 def checksum(*columns: str) -> Column:

@@ -16,7 +16,7 @@ class ScanLimitExceeded(RuntimeError):
 def scanned_bytes(df: DataFrame) -> int:
     """Bytes of the leaves of the optimised plan, as Spark estimates them after partition pruning."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def guarded(df: DataFrame, cap: int = INTERACTIVE_CAP) -> DataFrame:

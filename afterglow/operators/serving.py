@@ -55,8 +55,8 @@ def leaderboard(facts: DataFrame, config: SpikeConfig, slowest: bool = False) ->
 
 def quartiles(facts: DataFrame, column: str, where: Column) -> DataFrame:
     """(n, q1, median, q3) by nearest rank of the non-null values where a condition holds."""
-    value = F.when(where, F.col(column))
-    return facts.agg(F.count(value).alias("n"), *(nearest_rank(value, share).cast("double").alias(name) for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))))
+    values = facts.select(F.when(where, F.col(column)).alias("value"))
+    return values.agg(F.count("value").alias("n"), *(nearest_rank("value", share).cast("double").alias(name) for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))))
 
 
 def big_spikes(config: SpikeConfig) -> Column:

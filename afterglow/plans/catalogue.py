@@ -364,7 +364,7 @@ def top_k_frequency(spark, sf_dir):
 
 @query
 def upper_median_and_median(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(exact_median(F.col("l_quantity")).alias("median"), upper_median(F.col("l_quantity")).alias("upper_median"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(exact_median(F.col("l_quantity")).alias("median"), upper_median("l_quantity").alias("upper_median"))
 
 
 @query

@@ -40,7 +40,7 @@ def lag_summary(mentions: DataFrame) -> DataFrame:
     """(rows, malformed, bad_dates, events, sources, min_lag, median_lag, max_lag); the median is the upper one."""
     return mentions.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("malformed").alias("malformed"), F.count_if("bad_date").alias("bad_dates"), F.count_distinct("GlobalEventID").alias("events"),
-        F.count_distinct("MentionSourceName").alias("sources"), F.min("lag_minutes").alias("min_lag"), upper_median(F.col("lag_minutes")).alias("median_lag"), F.max("lag_minutes").alias("max_lag"),
+        F.count_distinct("MentionSourceName").alias("sources"), F.min("lag_minutes").alias("min_lag"), upper_median("lag_minutes").cast("long").alias("median_lag"), F.max("lag_minutes").alias("max_lag"),
     )
 
 
