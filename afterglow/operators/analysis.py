@@ -20,29 +20,40 @@ def floor_sensitivity(spine: DataFrame, config: SpikeConfig, floors: tuple[int,
 
     A page's first day that qualifies on full data is its spike. days_lost: days of their baseline windows under the
     floor; baselines_moved: baselines changed by over a tenth; spikes_lost: spikes that no longer qualify; false_spikes:
-    pages without a spike that get one. All floors are columns of one window pass.
+    pages without a spike that get one.
+
+    Dropping small values to 0 keeps the order of a window, so every floor's median follows from the two middle values,
+    which one window pass finds. Lost days are counted only for the windows of spikes, by a join back.
     """
-    last = config.baseline_offset
-    frame = Window.partitionBy("page_title").orderBy("dt").rowsBetween(-(last + config.baseline_days - 1), -last)
-    value = F.coalesce("daily_views", F.lit(0))
-    based = spine.withColumn("v", value).withColumn("n", F.count("v").over(frame)).withColumn("base", F.percentile("v", 0.5).over(frame))
-    for f in floors:
-        based = based.withColumn(f"base_{f}", F.percentile(F.when(F.col("v") >= f, F.col("v")).otherwise(0), 0.5).over(frame)).withColumn(f"lost_{f}", F.count_if(F.col("v") < f).over(frame))
-    full = based.filter(F.col("n") == config.baseline_days).withColumn("ok", qualifies(F.col("v"), F.col("base"), config))
+    last, n = config.baseline_offset, config.baseline_days
+    frame = Window.partitionBy("page_title").orderBy("dt").rowsBetween(-(last + n - 1), -last)
+    middle = [((n - 1) // 2) / max(n - 1, 1), (n // 2) / max(n - 1, 1)]
+    values = spine.select("page_title", "dt", F.coalesce("daily_views", F.lit(0)).alias("v"))
+    based = values.withColumn("n", F.count("v").over(frame)).withColumn("m", F.percentile("v", F.array(*map(F.lit, middle))).over(frame))
+    # middle values are whole numbers, which interpolation at their very ranks may miss by a rounding error
+    low, high = (F.round(F.get("m", F.lit(i))).cast("long") for i in (0, 1))
+    full = based.filter(F.col("n") == n).select("page_title", "dt", "v", low.alias("low"), high.alias("high"))
+    at = lambda f: (F.when(F.col("low") >= f, F.col("low")).otherwise(0) + F.when(F.col("high") >= f, F.col("high")).otherwise(0)) / 2
+    full = full.withColumn("base", (F.col("low") + F.col("high")) / 2).withColumn("ok", qualifies(F.col("v"), F.col("base"), config))
     for f in floors:
-        full = full.withColumn(f"ok_{f}", qualifies(F.col("v"), F.col(f"base_{f}"), config))
-    first = F.min(F.when(F.col("ok"), F.struct("dt", "v", "base", *(c for f in floors for c in (f"base_{f}", f"lost_{f}", f"ok_{f}"))))).alias("s")
+        full = full.withColumn(f"base_{f}", at(f)).withColumn(f"ok_{f}", qualifies(F.col("v"), F.col(f"base_{f}"), config))
+    first = F.min(F.when(F.col("ok"), F.struct("dt", "v", "base", *(c for f in floors for c in (f"base_{f}", f"ok_{f}"))))).alias("s")
     pages = full.groupBy("page_title").agg(first, *(F.coalesce(F.bool_or(F.col(f"ok_{f}")), F.lit(False)).alias(f"any_{f}") for f in floors))
+    spans = pages.filter("s IS NOT NULL").select("page_title", F.date_sub("s.dt", last + n - 1).alias("_a"), F.date_sub("s.dt", last).alias("_b"))
+    inside = values.join(spans, "page_title").filter(F.col("dt").between(F.col("_a"), F.col("_b")))
+    lost = inside.agg(*(F.count_if(F.col("v") < f).alias(f"lost_{f}") for f in floors))
     spiked = F.col("s").isNotNull()
     per_floor = [
         F.struct(
-            F.lit(f).alias("floor"), F.count_if(spiked).alias("spikes"), F.coalesce(F.sum(f"s.lost_{f}"), F.lit(0)).alias("days_lost"),
+            F.lit(f).alias("floor"), F.count_if(spiked).alias("spikes"),
             F.count_if(spiked & (F.col("s.base") > 0) & (F.abs(F.col(f"s.base_{f}") - F.col("s.base")) * 10 > F.col("s.base"))).alias("baselines_moved"),
             F.count_if(spiked & ~F.col(f"s.ok_{f}")).alias("spikes_lost"), F.count_if(~spiked & F.col(f"any_{f}")).alias("false_spikes"),
         )
         for f in floors
     ]
-    return pages.agg(F.array(*per_floor).alias("a")).select(F.explode("a").alias("a")).select("a.*")
+    days = lost.select(F.explode(F.array(*(F.struct(F.lit(f).alias("floor"), F.col(f"lost_{f}").alias("days_lost")) for f in floors))).alias("d")).select("d.*")
+    counts = pages.agg(F.array(*per_floor).alias("a")).select(F.explode("a").alias("a")).select("a.*")
+    return counts.join(days, "floor").select("floor", "spikes", "days_lost", "baselines_moved", "spikes_lost", "false_spikes")
 
 
 def stratum_counts(rows: DataFrame, value: str, edges: list[int]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from afterglow.config import SpikeConfig
@@ -13,12 +13,27 @@ def baselines(spine: DataFrame, config: SpikeConfig) -> DataFrame:
     """(page_title, dt, daily_views, baseline_days, baseline) of the days that could qualify.
 
     The baseline is the exact median of the rows from `offset + days - 1` to `offset` before; the spine has one row a
-    day, and null days are left out. Small days are dropped only above the window, which needs them.
+    day, and null days are left out. A page's days are gathered to one array, no longer than the calendar, and medians
+    are taken only for the few days that could qualify: a sliding window would sort the frame of every day.
     """
-    last = config.baseline_offset
-    frame = Window.partitionBy("page_title").orderBy("dt").rowsBetween(-(last + config.baseline_days - 1), -last)
-    windowed = spine.select("page_title", "dt", "daily_views", F.count("daily_views").over(frame).alias("baseline_days"), F.percentile("daily_views", 0.5).over(frame).alias("baseline"))
-    return windowed.filter((F.col("daily_views") >= config.candidate_views) & (F.col("dt") >= F.lit(config.first_evaluable)))
+    width, last = config.baseline_days, config.baseline_offset
+    pages = spine.groupBy("page_title").agg(F.array_sort(F.collect_list(F.struct("dt", F.col("daily_views").cast("long").alias("v")))).alias("days"))
+    days = F.col("days")
+
+    def judged(i):
+        """The day at place i with the known values of its window, sorted."""
+        first = F.greatest(i - (last + width - 1), F.lit(0))
+        length = F.greatest(i - last + 1 - first, F.lit(0))
+        window = F.array_sort(F.filter(F.transform(F.slice(days, first + 1, length), lambda d: d["v"]), lambda v: v.isNotNull()))
+        return F.struct(F.get(days, i)["dt"].alias("dt"), F.get(days, i)["v"].alias("daily_views"), window.alias("w"))
+
+    could = lambda i: (F.get(days, i)["v"] >= config.candidate_views) & (F.get(days, i)["dt"] >= F.lit(config.first_evaluable))
+    places = F.filter(F.sequence(F.lit(0), F.size(days) - 1), could)
+    rows = pages.select("page_title", F.explode(F.transform(places, judged)).alias("d")).select("page_title", "d.*")
+    n = F.size("w")
+    middle = lambda place: F.get("w", F.floor(place).cast("int"))
+    baseline = (middle((n - 1) / 2) + middle(n / 2)) / 2
+    return rows.select("page_title", "dt", "daily_views", n.cast("long").alias("baseline_days"), F.when(n > 0, baseline).alias("baseline"))
 
 
 def qualifying_days(based: DataFrame, config: SpikeConfig) -> DataFrame:
