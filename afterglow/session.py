@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Settings of a local session; on a cluster the submitter's own settings win.
 LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.ui.enabled": "false",
@@ -33,8 +35,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once a session, so that Python workers can import it.
 
-    Functions are then pickled by reference and what a module caches lives as long as its worker.
+    Functions are then pickled by reference and what a module caches lives as long as its worker. Where the session
+    leaves Arrow batches at their default of 10,000 rows, they are made smaller, as whole texts can be long.
     """
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     context = spark.sparkContext
     if getattr(context, "_afterglow_shipped", False):
         return
