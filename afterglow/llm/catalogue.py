@@ -80,9 +80,34 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+OP6_SQL = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS doc, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), starts AS (
+  SELECT doc, i, array_to_string(words[i : i + 34], ' ') AS k
+  FROM (SELECT doc, words, unnest(range(1, len(words) - 33)) AS i FROM split WHERE len(words) >= 35)
+), twice AS (
+  SELECT k FROM starts GROUP BY k HAVING count(*) > 1
+), repeated AS (
+  SELECT doc, i FROM starts SEMI JOIN twice USING (k)
+), placed AS (
+  SELECT doc, unnest(range(1, len(words) + 1)) AS j, unnest(words) AS word FROM split
+), judged AS (
+  SELECT p.doc, p.j, p.word, count(r.i) OVER (PARTITION BY p.doc ORDER BY p.j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM placed p LEFT JOIN repeated r ON r.doc = p.doc AND r.i = p.j
+), summed AS (
+  SELECT doc, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone) AS kept
+  FROM judged GROUP BY doc
+)
+SELECT s.doc_id, coalesce(m.n_words, 0)::BIGINT AS n_words, coalesce(m.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(m.kept, '')) AS kept_sha256
+FROM split s LEFT JOIN summed m USING (doc)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_line_dedup, op6_substring_dedup, op7_sentencepiece, op8_document_fingerprints, op9_token_counts, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op6_substring_dedup": OP6_SQL}
