@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import io
+
+import pandas as pd
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from afterglow.config import CANDIDATE_FLOORS, SpikeConfig
@@ -93,3 +97,56 @@ def item_bytes(*columns: Column) -> Column:
 def write_units(size: Column) -> Column:
     """Write units of an item: one a started kilobyte."""
     return F.ceil(size / 1024.0)
+
+
+def missing_hours(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """(hour_start) of the hours of a span without any row."""
+    span = rows.sparkSession.range(1).select(F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("hour_start"))
+    return span.join(rows.select("hour_start"), "hour_start", "left_anti")
+
+
+def hour_convention(stored: DataFrame, reference: DataFrame, shifts: tuple[int, ...] = (-1, 0, 1)) -> DataFrame:
+    """(shift, matches, compared): how often values agree exactly with a reference that is read so many hours later.
+
+    The right convention of labels is the shift at which nearly all agree.
+    """
+    moved = reference.select("page_title", F.col("hour_start").alias("_hour"), F.col("views").alias("_views"))
+    moved = moved.select("page_title", "_views", F.explode(F.array(*(F.struct(F.lit(s).alias("shift"), F.timestamp_add("HOUR", F.lit(s), F.col("_hour")).alias("hour_start")) for s in shifts))).alias("m"))
+    moved = moved.select("page_title", "_views", F.col("m.shift").alias("shift"), F.col("m.hour_start").alias("hour_start"))
+    joined = moved.join(stored.select("page_title", "hour_start", "views"), ["page_title", "hour_start"])
+    return joined.groupBy("shift").agg(F.count_if(F.col("views") == F.col("_views")).alias("matches"), F.count(F.lit(1)).alias("compared"))
+
+
+def footers(spark: SparkSession, path: str) -> DataFrame:
+    """(path, row_group, column, rows, compressed, least, most) from the footers of Parquet files, one task a file."""
+
+    def run(frames):
+        for frame in frames:
+            out = []
+            for where, content in zip(frame["path"], frame["content"], strict=True):
+                meta = pq.ParquetFile(io.BytesIO(content)).metadata
+                for g in range(meta.num_row_groups):
+                    group = meta.row_group(g)
+                    for c in range(group.num_columns):
+                        column = group.column(c)
+                        stats = column.statistics
+                        known = stats is not None and stats.has_min_max
+                        out.append((where, g, column.path_in_schema, group.num_rows, column.total_compressed_size, str(stats.min) if known else None, str(stats.max) if known else None))
+            yield pd.DataFrame(out, columns=["path", "row_group", "column", "rows", "compressed", "least", "most"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "content").mapInPandas(run, "path string, row_group int, column string, rows long, compressed long, least string, most string")
+
+
+def column_sizes(found: DataFrame) -> DataFrame:
+    """(column, compressed, row_groups) summed over footers."""
+    return found.groupBy("column").agg(F.sum("compressed").alias("compressed"), F.count(F.lit(1)).alias("row_groups"))
+
+
+def layout_trial(rows: DataFrame, path: str, sort: list[str]) -> dict[str, int]:
+    """Compressed bytes of the rows written as they come and written sorted."""
+    spark, out = rows.sparkSession, {}
+    for name, df in (("as_is", rows), ("sorted", rows.repartitionByRange(*sort).sortWithinPartitions(*sort))):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
+        out[name] = column_sizes(footers(spark, f"{path}/{name}")).agg(F.sum("compressed")).first()[0]
+    return out

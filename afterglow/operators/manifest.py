@@ -98,3 +98,13 @@ def published_problems(page_hour: DataFrame, manifest_hours: DataFrame) -> DataF
     stored = page_hour.groupBy(hour_label(F.col("hour_start")).alias("hour")).agg(F.count(F.lit(1)).alias("stored_rows"))
     joined = stored.join(manifest_hours.select("hour", F.col("rows").alias("recorded_rows")), "hour", "full_outer")
     return joined.fillna(0, ["stored_rows", "recorded_rows"]).filter("stored_rows <> recorded_rows")
+
+
+def day_rollup(hours: DataFrame, days: DataFrame) -> DataFrame:
+    """(dt, hours_views, day_views) of days whose hours' kept views do not add up to the day's unfloored views.
+
+    hours: (dt, views_kept); days: (dt, views_unfloored).
+    """
+    summed = hours.groupBy("dt").agg(F.sum("views_kept").alias("hours_views"))
+    joined = summed.join(days.select("dt", F.col("views_unfloored").alias("day_views")), "dt", "full_outer")
+    return joined.filter(~F.col("hours_views").eqNullSafe(F.col("day_views"))).select("dt", "hours_views", "day_views")

@@ -53,6 +53,16 @@ def leaderboard(facts: DataFrame, config: SpikeConfig, slowest: bool = False) ->
     return ranked.select("spike_id", "page_title", "spike_start", "attention_half_life_hours", F.round("long_tail_share", 3).alias("long_tail_share"), "peak_day_views")
 
 
+def numbered(board: DataFrame) -> DataFrame:
+    """A leaderboard with the rank of its rows, in the order they come in."""
+    return board.coalesce(1).withColumn("rank", F.monotonically_increasing_id())
+
+
+def first_bucket(text: str) -> str:
+    """The bucket of a title or of an id, which begins with its title."""
+    return text.strip().replace(" ", "_").lower()[:1]
+
+
 def quartiles(facts: DataFrame, column: str, where: Column) -> DataFrame:
     """(n, q1, median, q3) by nearest rank of the non-null values where a condition holds."""
     values = facts.select(F.when(where, F.col(column)).alias("value"))
@@ -63,14 +73,17 @@ def big_spikes(config: SpikeConfig) -> Column:
     return F.coalesce((F.col("peak_day_excess") >= config.leaderboard_min_peak_day_excess) & ~F.col("burst") & ~F.col("calendar_page"), F.lit(False))
 
 
-def headline(facts: DataFrame, config: SpikeConfig) -> DataFrame:
-    """One row of totals, flags and spans."""
+def headline(facts: DataFrame, config: SpikeConfig, **ranked: tuple[str, Column]) -> DataFrame:
+    """One row of totals, flags and spans; `name=(column, where)` adds a struct of nearest-rank quartiles."""
     big = big_spikes(config)
-    return facts.agg(
+    values = facts.withColumns({f"_{name}": F.when(where, F.col(column)) for name, (column, where) in ranked.items()}) if ranked else facts
+    shares = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    return values.agg(
         F.count(F.lit(1)).alias("spikes_detected"), F.count_distinct("page_title").alias("pages_with_spikes"), F.count_if("leaderboard_eligible").alias("qualifying_spikes"),
         F.count_if(F.col("leaderboard_eligible") & F.col("window_end")).alias("qualifying_censored"), *(F.count_if(flag).alias(flag) for flag in ("burst", "rekindled", "calendar_page", "window_end")),
         F.count_if(big).alias("big_spikes"), F.count_if(big & F.col("rekindled")).alias("rekindled_among_big"),
         F.try_divide(F.count_if("window_end"), F.count(F.lit(1))).alias("window_end_share"), F.min("spike_start").alias("first_spike"), F.max("spike_start").alias("last_spike"),
+        *(F.struct(F.count(f"_{name}").alias("n"), *(nearest_rank(f"_{name}", share).cast("double").alias(part) for part, share in shares)).alias(name) for name in ranked),
     )
 
 

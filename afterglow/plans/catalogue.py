@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from afterglow.config import SpikeConfig
 from afterglow.functions import decode_curve, encode_curve, exact_median, is_excluded, upper_median
 from afterglow.operators import analysis, decay, hours, manifest, publish, reconcile, serving, spikes, spine, tiers
-from afterglow.plans import inputs, oracles
+from afterglow.plans import api, inputs, oracles
 from afterglow.plans.inputs import EVENTS, SUPPLIERS, chain
 from afterglow.session import ship_package, table
 from afterglow.sources import feeds, hour_files
@@ -440,6 +440,49 @@ def missing_months(spark, sf_dir):
     return publish.missing_months(orders, orders.filter(F.month("dt") % 4 != 0))
 
 
+@query
+def day_rollup(spark, sf_dir):
+    """Hours and days made from the same events, every third day's total one too high."""
+    hourly = inputs.event_hours(spark, sf_dir)
+    hours_kept = hourly.select(F.to_date("hour_start").alias("dt"), F.col("views").alias("views_kept"))
+    totals = hourly.groupBy(F.to_date("hour_start").alias("dt")).agg(F.sum("views").alias("v"))
+    days = totals.select("dt", (F.col("v") + F.when(F.dayofmonth("dt") % 3 == 0, 1).otherwise(0)).alias("views_unfloored"))
+    return manifest.day_rollup(hours_kept, days)
+
+
+@query
+def missing_hours(spark, sf_dir):
+    hourly = inputs.event_hours(spark, sf_dir).filter(F.hour("hour_start") % 6 != 5)
+    end = F.lit(EVENTS.data_end_hour).cast("timestamp_ntz")
+    return analysis.missing_hours(hourly, F.lit(EVENTS.window_start).cast("timestamp_ntz"), end)
+
+
+@query
+def hour_convention(spark, sf_dir):
+    hourly = inputs.event_hours(spark, sf_dir)
+    labelled = hourly.withColumn("hour_start", F.col("hour_start") + F.expr("INTERVAL 1 HOUR"))
+    return analysis.hour_convention(hourly, labelled)
+
+
+@query
+def item_write_units(spark, sf_dir):
+    """Bytes and write units of curves as text."""
+    curves = _items(spark, sf_dir).select("spike_id", serving.curve_text(F.col("curve")).alias("curve"), "page_title")
+    size = analysis.item_bytes(F.col("spike_id"), F.col("page_title"), F.col("curve"))
+    return curves.select("spike_id", size.cast("long").alias("bytes"), analysis.write_units(size).alias("units"))
+
+
+@query
+def serving_documents(spark, sf_dir):
+    return api.documents(chain(spark, sf_dir).facts, EVENTS)
+
+
+@query
+def parquet_footers(spark, sf_dir):
+    ship_package(spark)
+    return analysis.column_sizes(analysis.footers(spark, f"{sf_dir}/orders.parquet"))
+
+
 # --- parsers, on lines made here
 
 

@@ -166,4 +166,8 @@ SQL: dict[str, str] = {
     "search_index_buckets": events("SELECT left(lower(replace(page_title, ' ', '_')), 1) AS bucket, count(*) AS n, min(lower(replace(page_title, ' ', '_')) || '#' || spike_start) AS first_key FROM items GROUP BY 1", ITEMS),
     "stale_keys": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
     "rest_mismatches": events("SELECT d.page_title, d.dt, d.views + (d.views % 3 = 0)::BIGINT AS expected, CASE WHEN day(d.dt) <> 20 THEN d.views END AS stored FROM raw_daily d WHERE day(d.dt) = 20 OR d.views % 3 = 0"),
+    "day_rollup": events("SELECT hour_start::DATE AS dt, sum(views)::BIGINT AS hours_views, sum(views)::BIGINT + 1 AS day_views FROM raw_hourly WHERE day(hour_start) % 3 = 0 GROUP BY 1"),
+    "missing_hours": events(f"SELECT h AS hour_start FROM generate_series(TIMESTAMP '{_c.window_start}', TIMESTAMP '{_c.data_end_hour}', INTERVAL 1 HOUR) g(h) WHERE h NOT IN (SELECT hour_start FROM raw_hourly WHERE hour(hour_start) % 6 <> 5)"),
+    "hour_convention": events("SELECT s::INTEGER AS shift, count(*) FILTER (WHERE a.views = b.views) AS matches, count(*) AS compared FROM (VALUES (-1), (0), (1)) v(s), raw_hourly b JOIN raw_hourly a ON a.page_title = b.page_title AND a.hour_start = b.hour_start + INTERVAL 1 HOUR * (s + 1) GROUP BY 1"),
+    "item_write_units": events("SELECT spike_id, b AS bytes, (b + 1023) // 1024 AS units FROM (SELECT spike_id, (strlen(spike_id) + strlen(page_title) + strlen(array_to_string(curve, ',')))::BIGINT AS b FROM items)", ITEMS),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from afterglow.config import SpikeConfig
 from afterglow.functions import decode_curve, encode_curve, human_bytes, is_excluded, nearest_rank, percent_encoded, source_url, upper_median
-from afterglow.operators import analysis, manifest, publish, reconcile, scan_guard, tiers
+from afterglow.operators import analysis, manifest, publish, reconcile, runner, scan_guard, tiers
 from afterglow.session import ship_package
 from afterglow.sources import feeds, hour_files
 from afterglow.streaming import decay_by_event, ingest_available, page_totals, read_table, replace_days
@@ -202,3 +202,79 @@ def test_stratified_sample_is_repeatable(spark):
     one = analysis.stratified_sample(rows, "k", "v", [0, 10, 40], 7, seed=3)
     assert {r.stratum: r.n for r in one.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()} == {0: 7, 1: 7}
     assert sorted(one.collect()) == sorted(analysis.stratified_sample(rows.repartition(5), "k", "v", [0, 10, 40], 7, seed=3).collect())
+
+
+class Fake:
+    """A manifest in memory whose hours and day states the runner's collaborators change."""
+
+    def __init__(self, spark, **special):
+        self.spark, self.now, self.slept, self.state = spark, 100, [], None
+        self.rows = {r.hour: [r.status, r.attempt, r.lease_expires] for r in hour_rows(spark, **special).collect()}
+        self.works = True
+
+    def runner(self):
+        hours = lambda: self.spark.createDataFrame([(h, *r) for h, r in self.rows.items()], HOURS)
+        states = lambda: self.spark.createDataFrame([(DAY, self.state)] if self.state else [], "dt date, status string")
+        return runner.Runner(self.spark, states, hours, self.ingest, self.compact, lambda: self.now, self.sleep)
+
+    def sleep(self, seconds):
+        self.slept.append(seconds)
+        self.now += int(seconds)
+
+    def ingest(self, plan):
+        for r in manifest.expected_hours(self.spark.createDataFrame([(DAY,)], "dt date")).collect():
+            status, attempt, _ = self.rows.get(r.hour, ("pending", 0, None))
+            if status != "done":
+                self.rows[r.hour] = ["done", (attempt or 0) + 1, None] if self.works else ["failed", (attempt or 0) + 1, None]
+
+    def compact(self, day):
+        self.state = "compacted" if self.works else None
+        return self.works
+
+
+def test_runner_brings_a_day_to_its_end(spark):
+    fake = Fake(spark, **{"2025_03_01T05": ("in-flight", 1, 150), "2025_03_01T06": ("failed", 1, None)})
+    report = fake.runner().run_day(DAY)
+    assert (report.outcome, report.log) == ("compacted", ["ingest", "compact", "skip"]) and fake.slept == [30]
+    assert fake.runner().run_day(DAY).outcome == "skipped" and fake.runner().final_pass([DAY]) == {}
+    waits = Fake(spark, **{"2025_03_01T05": ("in-flight", 1, 150)})
+    assert waits.runner().run_day(DAY).log[:3] == ["wait", "ingest", "compact"] and waits.slept[0] == 51
+    broken = Fake(spark, **{"2025_03_01T05": ("failed", 1, None)})
+    broken.works = False
+    report = broken.runner().run_day(DAY)
+    assert report.outcome == "incomplete" and broken.slept == [30, 120]
+    assert "failed for good" in broken.runner().final_pass([DAY])[DAY]
+    held = Fake(spark)
+    held.works = False
+    assert held.runner().run_day(DAY).outcome == "compaction-failed"
+
+
+def test_footers_sizes_and_observed_counts(spark, tmp_path):
+    ship_package(spark)
+    rows = spark.range(20_000).select((F.hash("id") % 500).alias("t"), "id")
+    sizes = analysis.layout_trial(rows, str(tmp_path), ["t"])
+    assert sizes["sorted"] < sizes["as_is"]
+    found = analysis.footers(spark, str(tmp_path / "sorted"))
+    assert found.filter("column = 't'").agg(F.sum("rows")).first()[0] == 20_000
+    df, seen = scan_guard.observed(spark.read.parquet(str(tmp_path / "sorted")), "counts", rows=F.count(F.lit(1)), large=F.count_if(F.col("id") > 9_999))
+    df.write.mode("overwrite").parquet(str(tmp_path / "copy"))
+    assert seen.get == {"rows": 20_000, "large": 10_000}
+    again = spark.read.parquet(str(tmp_path / "copy")).groupBy("t").count()
+    again.collect()
+    assert scan_guard.read_bytes(again) > 1_000
+
+
+def test_serving_facade(spark, tmp_path):
+    from afterglow.plans import api, inputs
+
+    found = inputs.chain(spark, "/root/testdata/sf0.01")
+    api.store(found.facts, found.hours, str(tmp_path), inputs.EVENTS)
+    server = api.Api(spark, str(tmp_path), inputs.EVENTS)
+    code, body = server.handle("GET", "/api/summary", {})
+    assert code == 200 and set(body) == {"stats", "fastest", "slowest"}
+    code, hits = server.handle("GET", "/api/search", {"q": "user "})
+    assert code == 200 and 0 < len(hits) <= 20 and "curve" not in hits[0]
+    code, one = server.handle("GET", "/api/spike", {"id": hits[0]["spike_id"]})
+    assert code == 200 and len(one["views"]) == len(one["excess"]) == inputs.EVENTS.horizon
+    codes = [server.handle(m, r, q)[0] for m, r, q in (("POST", "/api/summary", {}), ("GET", "/x", {}), ("GET", "/api/search", {}), ("GET", "/api/search", {"q": "x" * 101}), ("GET", "/api/spike", {"id": ""}), ("GET", "/api/spike", {"id": "User none"}))]
+    assert codes == [405, 404, 400, 400, 400, 404]
