@@ -231,8 +231,8 @@ def curve_array_string(spark, sf_dir):
 @query
 def curve_codec_roundtrip(spark, sf_dir):
     ship_package(spark)
-    packed = _items(spark, sf_dir).select("spike_id", "curve", encode_curve("curve").alias("packed"))
-    return packed.select("spike_id", F.octet_length("packed").alias("packed_bytes"), (decode_curve("packed") == F.col("curve")).alias("same"))
+    packed = _items(spark, sf_dir).select("spike_id", encode_curve("curve").alias("packed"))
+    return packed.select("spike_id", serving.curve_text(decode_curve("packed")).alias("curve"))
 
 
 @query
@@ -483,27 +483,53 @@ def parquet_footers(spark, sf_dir):
     return analysis.column_sizes(analysis.footers(spark, f"{sf_dir}/orders.parquet"))
 
 
-# --- parsers, on lines made here
+# --- parsers, on lines made from events
 
 
-def _lines(spark, *lines: bytes):
-    return spark.createDataFrame([(bytearray(x),) for x in lines], "line binary")
+@query
+def parse_hostile_lines(spark, sf_dir):
+    """Counters of an hour file in which some lines are short, blank, of another project, without a number, or no UTF-8."""
+    e = F.col("event_id")
+    domain = F.when(F.col("user_id") % 4 == 1, "en.m").when(F.col("user_id") % 4 == 2, "de").otherwise("en")
+    title = (
+        F.when(e % 11 == 0, F.concat(F.lit("Talk:T"), F.col("user_id").cast("string")).cast("binary"))
+        .when(e % 13 == 0, F.concat(F.unhex(F.lit("FFFE")), (F.col("user_id") % 5).cast("string").cast("binary")))
+        .otherwise(F.concat(F.lit("Pagé_"), F.col("user_id").cast("string")).cast("binary"))
+    )
+    count = F.when(e % 17 == 0, "x1").otherwise((e % 90 + 1).cast("string"))
+    space = F.lit(b" ")
+    line = F.concat(domain.cast("binary"), space, title, space, count.cast("binary"), F.lit(b" 0"))
+    line = F.when(e % 23 == 0, F.lit(b"")).when(e % 19 == 0, F.lit(b"en Short 5")).otherwise(line)
+    return hour_files.parse(table(spark, sf_dir, "events").select(line.alias("line")))[1]
 
 
 @query
-def parse_hostile_lines(spark, sf_dir):
-    lines = _lines(spark, b"en Cat 10 0", b"en.m Cat 5 0", b"en Two 1", b"en Dog x1 0", b"en Caf\xc3\xa9 7 0", b"en \xff\xfe 42 0", b"en.m \xff\xfe 8 0", b"en Bad 1\xff2 0", b"", b"de Katze 9 0", b"en Talk:Cat 3 0", b"en My_Talk:Cat 4 0", b'en "Q 6 0', b"en A B 1 0")
-    return hour_files.parse(lines)[1]
+def parse_hour_titles(spark, sf_dir):
+    """The titles of such a file for each source hour, both projects as one."""
+    e = F.col("event_id")
+    domain = F.when(e % 3 == 1, "en.m").when(e % 3 == 2, "de").otherwise("en")
+    line = F.concat_ws(" ", domain, F.concat(F.lit("Ü_"), F.col("user_id").cast("string")), (e % 90 + 1).cast("string"), F.lit("0"))
+    lines = table(spark, sf_dir, "events").select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"), line.cast("binary").alias("line"))
+    return hour_files.parse(lines, "hour_start")[0]
 
 
 @query
 def parse_mentions(spark, sf_dir):
-    row = lambda event, mention: "\t".join(["1", event, mention, "1", "src.example", "http://x", *["0"] * 10])
-    lines = spark.createDataFrame([(row("20250101000000", "20250101010000"),), (row("20250101000000", "20250101120000"),), (row("20259901000000", "20250101120000"),), ("short\tline",)], "line string")
+    """Lags of a mentions feed in which some dates are no dates and some lines are short."""
+    e = F.col("event_id")
+    stamp = lambda at: F.date_format(at, "yyyyMMddHHmmss")
+    event = F.when(e % 31 == 0, "20249901000000").otherwise(stamp(F.col("ts")))
+    mention = stamp(F.timestamp_add("MINUTE", e % 500, F.col("ts")))
+    line = F.concat_ws("\t", F.col("user_id").cast("string"), event, mention, F.lit("1"), F.col("event_type"), F.lit("http://x"), *[F.lit("0")] * 10)
+    lines = table(spark, sf_dir, "events").select(F.when(e % 37 == 0, F.lit("short\tline")).otherwise(line).alias("line"))
     return feeds.lag_summary(feeds.parse_mentions(lines))
 
 
 @query
 def letters_feed(spark, sf_dir):
-    lines = spark.createDataFrame([("en.wikipedia Cat 1 desktop 7 A1C2X4",), ("en.wikipedia Dog 2 mobile-web 9 B3",), ("too short",)], "line string")
-    return feeds.parse_letters(lines)
+    """Hours of days told as letters, every seventh user's daily total wrong."""
+    hourly = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("dt"), F.hour("ts").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    codes = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("h", "n"))), lambda x: F.concat(F.chr(x["h"] + 65), x["n"].cast("string"))), "")
+    daily = hourly.groupBy("user_id", "dt").agg(codes.alias("codes"), (F.sum("n") + F.when(F.col("user_id") % 7 == 0, 1).otherwise(0)).alias("daily"))
+    line = F.concat_ws(" ", F.lit("en.project"), F.concat_ws("_", F.lit("U"), F.col("user_id").cast("string"), F.col("dt").cast("string")), F.lit("1"), F.lit("desktop"), F.col("daily").cast("string"), F.col("codes"))
+    return feeds.parse_letters(daily.select(line.alias("line"))).select("title", "daily", "hours", "consistent")

@@ -170,4 +170,17 @@ SQL: dict[str, str] = {
     "missing_hours": events(f"SELECT h AS hour_start FROM generate_series(TIMESTAMP '{_c.window_start}', TIMESTAMP '{_c.data_end_hour}', INTERVAL 1 HOUR) g(h) WHERE h NOT IN (SELECT hour_start FROM raw_hourly WHERE hour(hour_start) % 6 <> 5)"),
     "hour_convention": events("SELECT s::INTEGER AS shift, count(*) FILTER (WHERE a.views = b.views) AS matches, count(*) AS compared FROM (VALUES (-1), (0), (1)) v(s), raw_hourly b JOIN raw_hourly a ON a.page_title = b.page_title AND a.hour_start = b.hour_start + INTERVAL 1 HOUR * (s + 1) GROUP BY 1"),
     "item_write_units": events("SELECT spike_id, b AS bytes, (b + 1023) // 1024 AS units FROM (SELECT spike_id, (strlen(spike_id) + strlen(page_title) + strlen(array_to_string(curve, ',')))::BIGINT AS b FROM items)", ITEMS),
+    "curve_codec_roundtrip": events("SELECT spike_id, array_to_string(curve, ',') AS curve FROM items", ITEMS),
+    "parse_hostile_lines": """WITH l AS (SELECT *, event_id % 90 + 1 AS v, event_id % 19 <> 0 AS whole, user_id % 4 <> 2 AS ours, event_id % 17 <> 0 AS number, event_id % 11 = 0 AS talk, event_id % 13 = 0 AS bad FROM events WHERE event_id % 23 <> 0),
+        g AS (SELECT *, whole AND ours AND number AS good FROM l), b AS (SELECT user_id % 5 AS t, sum(v) AS v FROM g WHERE good AND NOT talk AND bad GROUP BY 1)
+        SELECT count(*) AS lines, count(*) FILTER (WHERE whole AND NOT ours) AS rows_other_project, count(*) FILTER (WHERE NOT whole) AS rows_skipped_invalid, count(*) FILTER (WHERE whole AND ours AND NOT number) AS rows_skipped_bad_int,
+        count(*) FILTER (WHERE good AND talk) AS rows_dropped_exclusions, coalesce(sum(v) FILTER (WHERE good AND talk), 0)::BIGINT AS views_dropped_exclusions, coalesce(sum(v) FILTER (WHERE good), 0)::BIGINT AS views_before_exclusions,
+        coalesce(sum(v) FILTER (WHERE good AND NOT talk AND user_id % 4 <> 1), 0)::BIGINT AS views_en, coalesce(sum(v) FILTER (WHERE good AND NOT talk AND user_id % 4 = 1), 0)::BIGINT AS views_en_m, count(*) FILTER (WHERE good AND NOT talk) AS rows_parsed,
+        (SELECT count(*) FROM b) AS rows_skipped_bad_utf8, (SELECT coalesce(sum(v), 0)::BIGINT FROM b) AS views_skipped_bad_utf8, coalesce(sum(v) FILTER (WHERE good AND NOT talk AND NOT bad), 0)::BIGINT AS views_kept FROM g""",
+    "parse_hour_titles": "SELECT date_trunc('hour', ts)::TIMESTAMP AS hour_start, 'Ü_' || user_id AS page_title, sum(event_id % 90 + 1)::BIGINT AS views FROM events WHERE event_id % 3 <> 2 GROUP BY ALL",
+    "parse_mentions": """WITH m AS (SELECT event_id % 37 = 0 AS short, event_id % 31 = 0 AS wrong, user_id, event_type, event_id % 500 AS lag FROM events), k AS (SELECT lag FROM m WHERE NOT short AND NOT wrong)
+        SELECT count(*) AS rows, count(*) FILTER (WHERE short) AS malformed, count(*) FILTER (WHERE wrong AND NOT short) AS bad_dates, count(DISTINCT CASE WHEN short THEN 'short' ELSE user_id::VARCHAR END) AS events, count(DISTINCT event_type) FILTER (WHERE NOT short) AS sources,
+        (SELECT min(lag) FROM k) AS min_lag, (SELECT list_sort(list(lag))[count(*) // 2 + 1] FROM k) AS median_lag, (SELECT max(lag) FROM k) AS max_lag FROM m""",
+    "letters_feed": """WITH h AS (SELECT user_id, ts::DATE AS dt, hour(ts) AS h, count(*) AS n FROM events GROUP BY ALL), d AS (SELECT user_id, dt, map_from_entries(list((h, n))) AS m, sum(n)::BIGINT AS s FROM h GROUP BY ALL)
+        SELECT 'U_' || user_id || '_' || dt AS title, s + (user_id % 7 = 0)::BIGINT AS daily, list_transform(range(24), lambda i: coalesce(m[i], 0)::BIGINT) AS hours, user_id % 7 <> 0 AS consistent FROM d""",
 }

@@ -14,6 +14,8 @@ from afterglow.config import PROJECTS
 from afterglow.functions import is_excluded_bytes
 
 LATIN = "ISO-8859-1"
+#: What becomes of a line.
+KEPT, EXCLUDED, BAD_INT, OTHER, INVALID = range(5)
 
 
 def read_hour_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -46,38 +48,35 @@ def parse(lines: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
     everything skipped. Both are one aggregation on the binary title, so nothing is read twice for a counter.
     """
     split = split_lines(lines)
-    project = F.coalesce(F.col("domain").isin(*[p.encode() for p in PROJECTS]), F.lit(False))
-    digits = F.coalesce(F.col("count_text").rlike("^[0-9]+$"), F.lit(False))
-    ours = split.withColumn("ours", F.col("valid") & project).withColumn("good", F.col("valid") & project & digits)
-    views = F.when(F.col("good"), F.col("count_text").try_cast("long"))
+    project = F.col("domain").isin(*[p.encode() for p in PROJECTS])
     # digits beyond a long are as bad as no digits
-    ours = ours.withColumn("views", views).withColumn("good", F.col("good") & views.isNotNull())
-    dropped = F.coalesce(is_excluded_bytes(F.col("title")), F.lit(False))
-    marked = ours.withColumn("dropped", F.col("good") & dropped)
-    group = F.when(F.col("good") & ~F.col("dropped"), F.col("title"))
-    mobile = F.col("domain") == F.lit(PROJECTS[1].encode())
-    per_title = marked.groupBy(*keys, group.alias("title")).agg(
-        F.sum(F.when(F.col("good") & ~F.col("dropped"), F.col("views"))).alias("views"),
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.col("valid") & ~F.col("ours")).alias("rows_other_project"),
-        F.count_if(~F.col("valid")).alias("rows_skipped_invalid"),
-        F.count_if(F.col("ours") & ~F.col("good")).alias("rows_skipped_bad_int"),
-        F.count_if("dropped").alias("rows_dropped_exclusions"),
-        F.coalesce(F.sum(F.when(F.col("dropped"), F.col("views"))), F.lit(0)).alias("views_dropped_exclusions"),
-        F.coalesce(F.sum(F.when(F.col("good"), F.col("views"))), F.lit(0)).alias("views_before_exclusions"),
-        F.coalesce(F.sum(F.when(F.col("good") & ~F.col("dropped") & ~mobile, F.col("views"))), F.lit(0)).alias("views_en"),
-        F.coalesce(F.sum(F.when(F.col("good") & ~F.col("dropped") & mobile, F.col("views"))), F.lit(0)).alias("views_en_m"),
-        F.count_if(F.col("good") & ~F.col("dropped")).alias("rows_parsed"),
+    views = F.when(F.col("count_text").rlike("^[0-9]+$"), F.col("count_text").try_cast("long"))
+    kind = F.when(~F.col("valid"), INVALID).when(~project, OTHER).when(views.isNull(), BAD_INT).when(is_excluded_bytes(F.col("title")), EXCLUDED).otherwise(KEPT)
+    told = split.select(*keys, "title", kind.alias("kind"), views.alias("views"), (F.col("domain") == F.lit(PROJECTS[1].encode())).alias("mobile"))
+    per_title = told.groupBy(*keys, "kind", F.when(F.col("kind") == KEPT, F.col("title")).alias("title")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("views"), F.lit(0)).alias("views"), F.coalesce(F.sum(F.when(F.col("mobile"), F.col("views"))), F.lit(0)).alias("mobile_views"),
+        F.max("kind").alias("own_kind"),
     )
-    sound = F.is_valid_utf8(F.col("title").cast("string"))
-    titles = per_title.filter(F.col("title").isNotNull() & sound).select(*keys, F.decode("title", "UTF-8").alias("page_title"), "views")
-    summed = ["lines", "rows_other_project", "rows_skipped_invalid", "rows_skipped_bad_int", "rows_dropped_exclusions", "views_dropped_exclusions", "views_before_exclusions", "views_en", "views_en_m", "rows_parsed"]
-    bad = F.col("title").isNotNull() & ~sound
+    # told by the aggregated kind: a filter on the grouping column would be pushed below and copy its whole expression there
+    kept = F.col("own_kind") == KEPT
+    per_title = per_title.withColumn("sound", F.when(kept, F.is_valid_utf8(F.col("title").cast("string"))).otherwise(False))
+    titles = per_title.filter("sound").select(*keys, F.decode("title", "UTF-8").alias("page_title"), "views")
+    total = lambda column, *kinds: F.coalesce(F.sum(F.when(F.col("own_kind").isin(*kinds), F.col(column))), F.lit(0))
+    bad = kept & ~F.col("sound")
     counters = per_title.groupBy(*keys).agg(
-        *(F.sum(c).alias(c) for c in summed),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("lines"),
+        total("n", OTHER).alias("rows_other_project"),
+        total("n", INVALID).alias("rows_skipped_invalid"),
+        total("n", BAD_INT).alias("rows_skipped_bad_int"),
+        total("n", EXCLUDED).alias("rows_dropped_exclusions"),
+        total("views", EXCLUDED).alias("views_dropped_exclusions"),
+        total("views", KEPT, EXCLUDED).alias("views_before_exclusions"),
+        (total("views", KEPT) - total("mobile_views", KEPT)).alias("views_en"),
+        total("mobile_views", KEPT).alias("views_en_m"),
+        total("n", KEPT).alias("rows_parsed"),
         F.count_if(bad).alias("rows_skipped_bad_utf8"),
         F.coalesce(F.sum(F.when(bad, F.col("views"))), F.lit(0)).alias("views_skipped_bad_utf8"),
-        F.coalesce(F.sum(F.when(F.col("title").isNotNull() & sound, F.col("views"))), F.lit(0)).alias("views_kept"),
+        F.coalesce(F.sum(F.when(F.col("sound"), F.col("views"))), F.lit(0)).alias("views_kept"),
     )
     return titles, counters
 
