@@ -483,6 +483,13 @@ def parquet_footers(spark, sf_dir):
     return analysis.column_sizes(analysis.footers(spark, f"{sf_dir}/orders.parquet"))
 
 
+@query
+def models_in_sql(spark, sf_dir):
+    """The chain as temporary views, asked in SQL."""
+    inputs.register(chain(spark, sf_dir))
+    return spark.sql("SELECT f.calendar_page, count(*) AS spikes, sum(h.n) AS hours, max(f.peak_views) AS most FROM fct_half_life f JOIN (SELECT spike_id, count(*) AS n FROM int_spike_hours GROUP BY spike_id) h USING (spike_id) GROUP BY f.calendar_page")
+
+
 # --- parsers, on lines made from events
 
 

@@ -86,3 +86,12 @@ def chain(spark: SparkSession, sf_dir: str, source: str = "events", config: Spik
     hourly = spine.stage_hourly(event_hours(spark, sf_dir), config)
     timeline = hours.spike_hours(hourly, merged, config)
     return Chain(daily, candidates, filled, based, qualifying, merged, hourly, timeline, decay.half_lives(timeline, merged, filled, config))
+
+
+def register(found: Chain, prefix: str = "") -> list[str]:
+    """Make the steps of a chain available to SQL as temporary views; gives their names."""
+    names = {"stg_page_daily": found.daily, "int_candidate_pages": found.candidates, "int_page_daily": found.zero_filled, "int_baselines": found.based, "int_spikes": found.spikes, "stg_page_hour": found.hourly, "int_spike_hours": found.hours, "fct_half_life": found.facts}
+    for name, df in names.items():
+        if df is not None:
+            df.createOrReplaceTempView(prefix + name)
+    return [prefix + name for name, df in names.items() if df is not None]

@@ -183,4 +183,5 @@ SQL: dict[str, str] = {
         (SELECT min(lag) FROM k) AS min_lag, (SELECT list_sort(list(lag))[count(*) // 2 + 1] FROM k) AS median_lag, (SELECT max(lag) FROM k) AS max_lag FROM m""",
     "letters_feed": """WITH h AS (SELECT user_id, ts::DATE AS dt, hour(ts) AS h, count(*) AS n FROM events GROUP BY ALL), d AS (SELECT user_id, dt, map_from_entries(list((h, n))) AS m, sum(n)::BIGINT AS s FROM h GROUP BY ALL)
         SELECT 'U_' || user_id || '_' || dt AS title, s + (user_id % 7 = 0)::BIGINT AS daily, list_transform(range(24), lambda i: coalesce(m[i], 0)::BIGINT) AS hours, user_id % 7 <> 0 AS consistent FROM d""",
+    "models_in_sql": events("SELECT calendar_page, count(*) AS spikes, sum(n)::BIGINT AS hours, max(peak_views) AS most FROM facts JOIN (SELECT spike_id, count(*) AS n FROM hours GROUP BY 1) USING (spike_id) GROUP BY 1"),
 }

@@ -11,7 +11,7 @@ from afterglow.config import SpikeConfig
 from afterglow.functions import decode_curve, encode_curve, human_bytes, is_excluded, nearest_rank, percent_encoded, source_url, upper_median
 from afterglow.operators import analysis, manifest, publish, reconcile, runner, scan_guard, tiers
 from afterglow.session import ship_package
-from afterglow.sources import feeds, hour_files
+from afterglow.sources import feeds, hour_files, lake
 from afterglow.streaming import decay_by_event, ingest_available, page_totals, read_table, replace_days
 
 HOSTILE = [b"en Two 1", b"en Dog x1 0", b"en Caf\xc3\xa9 7 0", b"en.m Caf\xc3\xa9 3 0", b"en \xff\xfe 42 0", b"en.m \xff\xfe 8 0", b"en Bad 1\xff2 0", b"", b"de Katze 9 0",
@@ -278,3 +278,23 @@ def test_serving_facade(spark, tmp_path):
     assert code == 200 and len(one["views"]) == len(one["excess"]) == inputs.EVENTS.horizon
     codes = [server.handle(m, r, q)[0] for m, r, q in (("POST", "/api/summary", {}), ("GET", "/x", {}), ("GET", "/api/search", {}), ("GET", "/api/search", {"q": "x" * 101}), ("GET", "/api/spike", {"id": ""}), ("GET", "/api/spike", {"id": "User none"}))]
     assert codes == [405, 404, 400, 400, 400, 404]
+
+
+def test_lake_tables_and_months(spark, tmp_path):
+    (tmp_path / "text").mkdir()
+    (tmp_path / "text" / "a.csv").write_text("A;5\nB;7\n")
+    lake.create_text_table(spark, "text_views", str(tmp_path / "text"), "page_title STRING, views BIGINT", ";")
+    assert spark.table("text_views").agg(F.sum("views")).first()[0] == 12
+    schema = "page_title string, dt date, views long"
+    rows = spark.createDataFrame([("A", date(2025, m, d), m * d) for m in (1, 2, 3) for d in (1, 28)], schema)
+    path = str(tmp_path / "lake")
+    assert lake.load_months(spark, rows.filter("month(dt) < 3"), path) == [date(2025, 1, 1), date(2025, 2, 1)]
+    assert lake.load_months(spark, rows, path) == [date(2025, 3, 1)] and lake.load_months(spark, rows, path) == []
+    lake.create_day_table(spark, "day_views", path, "page_title STRING, views BIGINT, dt DATE")
+    spark.sql("MSCK REPAIR TABLE day_views")
+    assert spark.table("day_views").agg(F.sum("views"), F.count_distinct("dt")).first() == (174, 6)
+    for name in ("text_views", "day_views"):
+        lake.drop_table(spark, name)
+    lake.append_journal(rows.limit(1), str(tmp_path / "journal"))
+    lake.append_journal(rows.limit(1), str(tmp_path / "journal"))
+    assert spark.read.json(str(tmp_path / "journal")).count() == 2
