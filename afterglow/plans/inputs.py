@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from afterglow.config import SpikeConfig
 from afterglow.operators import decay, hours, spikes, spine
-from afterglow.session import table
+from afterglow.session import materialise, table
 
 #: Thresholds that the small tables can meet.
 SUPPLIERS = SpikeConfig(window_start=date(1995, 1, 2), window_end=date(2001, 11, 4), margin=20, floor_views=50, candidate_views=50)
@@ -40,14 +41,17 @@ def supplier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.groupBy("page_title", "dt").agg(F.sum("l_quantity").cast("long").alias("views"))
 
 
-def event_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_title, hour_start, views) of users."""
-    events = table(spark, sf_dir, "events").select(event_title(F.col("user_id")).alias("page_title"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"))
-    return events.groupBy("page_title", "hour_start").agg(F.count(F.lit(1)).alias("views"))
+def event_hours(spark: SparkSession, sf_dir: str, config: SpikeConfig | None = None) -> DataFrame:
+    """(page_title, hour_start, views) of users; with a config only of its window, a filter that reaches the scan."""
+    events = table(spark, sf_dir, "events")
+    if config:
+        events = events.filter((F.col("ts") >= F.lit(config.window_start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(config.window_end + timedelta(days=1)).cast("timestamp_ntz")))
+    hourly = events.select(event_title(F.col("user_id")).alias("page_title"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"))
+    return hourly.groupBy("page_title", "hour_start").agg(F.count(F.lit(1)).alias("views"))
 
 
-def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_hours(spark, sf_dir).groupBy("page_title", F.to_date("hour_start").alias("dt")).agg(F.sum("views").alias("views"))
+def event_days(spark: SparkSession, sf_dir: str, config: SpikeConfig | None = None) -> DataFrame:
+    return event_hours(spark, sf_dir, config).groupBy("page_title", F.to_date("hour_start").alias("dt")).agg(F.sum("views").alias("views"))
 
 
 def all_days(spark: SparkSession, config: SpikeConfig, without: date) -> DataFrame:
@@ -56,36 +60,61 @@ def all_days(spark: SparkSession, config: SpikeConfig, without: date) -> DataFra
     return days.filter(F.col("dt") != F.lit(without)).withColumn("hours_done", F.lit(24))
 
 
-@dataclass(frozen=True)
+@dataclass
 class Chain:
-    """The model chain over one input; every step is lazy."""
+    """The model chain over one input; every step is made when it is first asked for.
 
-    daily: DataFrame
-    candidates: DataFrame
-    zero_filled: DataFrame
-    based: DataFrame
-    qualifying: DataFrame
-    spikes: DataFrame
-    hourly: DataFrame | None = None
-    hours: DataFrame | None = None
-    facts: DataFrame | None = None
+    Steps are lazy, but for the spikes where hours follow: they are few, and hours, measures and facts all read them, so
+    they are written once instead of being worked out again for each.
+    """
+
+    spark: SparkSession
+    sf_dir: str
+    source: str
+    config: SpikeConfig
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        days = event_days(self.spark, self.sf_dir, self.config) if self.source == "events" else supplier_days(self.spark, self.sf_dir)
+        return spine.stage_daily(days, self.config)
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return spine.candidate_pages(self.daily, self.config)
+
+    @cached_property
+    def zero_filled(self) -> DataFrame:
+        return spine.zero_filled_daily(self.daily, self.candidates, all_days(self.spark, self.config, INCOMPLETE[self.source]), self.config)
+
+    @cached_property
+    def based(self) -> DataFrame:
+        return spikes.baselines(self.zero_filled, self.config)
+
+    @cached_property
+    def qualifying(self) -> DataFrame:
+        return spikes.qualifying_days(self.based, self.config)
+
+    @cached_property
+    def spikes(self) -> DataFrame:
+        merged = spikes.merge_spikes(self.qualifying, self.config)
+        return materialise(merged) if self.source == "events" else merged
+
+    @cached_property
+    def hourly(self) -> DataFrame | None:
+        return spine.stage_hourly(event_hours(self.spark, self.sf_dir, self.config), self.config) if self.source == "events" else None
+
+    @cached_property
+    def hours(self) -> DataFrame | None:
+        return hours.spike_hours(self.hourly, self.spikes, self.config) if self.source == "events" else None
+
+    @cached_property
+    def facts(self) -> DataFrame | None:
+        return decay.half_lives(self.hours, self.spikes, self.zero_filled, self.config) if self.source == "events" else None
 
 
 def chain(spark: SparkSession, sf_dir: str, source: str = "events", config: SpikeConfig | None = None) -> Chain:
     """Staging, candidates, spine, baselines, spikes; for events also hours and the half-life fact."""
-    config = config or {"events": EVENTS, "suppliers": SUPPLIERS}[source]
-    days = event_days(spark, sf_dir) if source == "events" else supplier_days(spark, sf_dir)
-    daily = spine.stage_daily(days, config)
-    candidates = spine.candidate_pages(daily, config)
-    filled = spine.zero_filled_daily(daily, candidates, all_days(spark, config, INCOMPLETE[source]), config)
-    based = spikes.baselines(filled, config)
-    qualifying = spikes.qualifying_days(based, config)
-    merged = spikes.merge_spikes(qualifying, config)
-    if source != "events":
-        return Chain(daily, candidates, filled, based, qualifying, merged)
-    hourly = spine.stage_hourly(event_hours(spark, sf_dir), config)
-    timeline = hours.spike_hours(hourly, merged, config)
-    return Chain(daily, candidates, filled, based, qualifying, merged, hourly, timeline, decay.half_lives(timeline, merged, filled, config))
+    return Chain(spark, sf_dir, source, config or {"events": EVENTS, "suppliers": SUPPLIERS}[source])
 
 
 def register(found: Chain, prefix: str = "") -> list[str]:
