@@ -25,6 +25,8 @@ NORMAL, BYTE = 1, 6
 PRE_TOKEN = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n+|[^{SPACE}\n]+")
 #: Pre-tokens that a worker keeps; beyond it the cache starts anew, so that memory stays bounded.
 CACHE_ENTRIES = 500_000
+#: Longer pre-tokens are not kept.
+CACHED_CHARS = 200
 
 
 def marked(text: str) -> str:
@@ -122,18 +124,15 @@ class PieceModel:
     def _tokens(self, word: str) -> list[str]:
         """Pieces, or single unknown characters, of a word with one space mark at most."""
         last: list[str] = [""]  # last[i]: the last token of the first i characters
-        matches: list[list[str]] = [[] for _ in word]
-        for end, piece in self.automaton.iter(word):
-            matches[end].append(piece)
         fits = self.fits
-        for end, found in enumerate(matches):
-            for piece in found:
+        for end, piece in self.automaton.iter(word):
+            while len(last) <= end:  # characters in no piece: nothing merges with them
+                last.append(word[len(last) - 1])
+            if len(last) == end + 1:
                 start = end + 1 - len(piece)
                 if start == 0 or fits(last[start], piece):
                     last.append(piece)
-                    break
-            else:
-                last.append(word[end])  # in no piece: nothing merges with it
+        last += word[len(last) - 1 :]
         back, at = [], len(word)
         while at:
             back.append(last[at])
@@ -214,7 +213,8 @@ class EncodedPreTokens(dict):
     def __missing__(self, chunk: str) -> tuple[str, str]:
         ids = self.model.encode_pre_token(chunk)
         found = (",".join(map(str, ids)), self.model.surface(ids))
-        self[chunk] = found
+        if len(chunk) <= CACHED_CHARS:
+            self[chunk] = found
         return found
 
 
