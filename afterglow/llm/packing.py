@@ -24,6 +24,8 @@ from afterglow.session import materialise, ship_package
 
 #: Distinct chunks of text whose ids a worker keeps; beyond it the cache starts anew.
 CACHE_ENTRIES = 400_000
+#: Longer chunks are not kept.
+CACHED_CHARS = 200
 #: A piece of text that byte-level pre-tokenisation never joins with its neighbours: white space and what follows.
 CHUNK = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 #: White space other than those four could join across such chunks; such texts are encoded whole.
@@ -82,7 +84,8 @@ class _Ids(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         found = little_endian(self.encode(chunk))
-        self[chunk] = found
+        if len(chunk) <= CACHED_CHARS:
+            self[chunk] = found
         return found
 
     def of(self, text: str) -> bytes:
