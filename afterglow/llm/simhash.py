@@ -184,15 +184,42 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, text: str
     return rows.join(components_of(rows, radius), "fp").select("doc_id", hexed(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, text: str = "text") -> DataFrame:
+def similarity(a: bytes, b: bytes, width: int) -> float:
+    """Jaccard similarity of two texts' shingles; 1 for two texts without words."""
+    if a == b:
+        return 1.0
+    one, two = (np.unique(shingle_hashes(t, width)) for t in (a, b))
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return both / (len(one) + len(two) - both) if len(one) + len(two) else 1.0
+
+
+def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity: float = 0.8, text: str = "text") -> DataFrame:
     """The rows of `docs` with all columns, one document of each group of near duplicates: that of the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays. Rows with a null doc_id cannot stand for a group and all stay.
+    Groups are the components of fingerprints. Fingerprints of unlike texts may come near by chance in a large corpus, so
+    a document goes only if its shingles are at least `least_similarity` like those of the document that stays; each is
+    compared with that one alone. Of rows that repeat a doc_id one stays. Rows with a null doc_id cannot stand for a
+    group and all stay.
     """
-    rows = materialise(fingerprints(docs.filter(F.col("doc_id").isNotNull()), width, text))
-    stay = rows.join(components_of(rows, radius), "fp").filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
+    named = docs.filter(F.col("doc_id").isNotNull())
+    rows = materialise(fingerprints(named, width, text))
+    members = rows.join(components_of(rows, radius), "fp").filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id"), "component_id").distinct()
+    members = materialise(members)
+    texts = named.select(F.col("doc_id").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    own = texts.join(members, "__id")
+    heads = members.select(F.col("component_id").alias("__id")).distinct()
+    # of rows that repeat a doc_id the smallest text speaks for it
+    head = texts.join(heads, "__id", "left_semi").groupBy("__id").agg(F.min("__text").alias("__head")).withColumnRenamed("__id", "__of")
+    pairs = own.join(head, own["component_id"] == head["__of"]).select("__id", "__text", "__head")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            like = [similarity(a, b, width) >= least_similarity for a, b in zip(raw_texts(batch.column(1)), raw_texts(batch.column(2)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(like, pa.bool_()))], names=["__id"])
+
+    gone = pairs.mapInArrow(run, f"__id {docs.schema['doc_id'].dataType.simpleString()}").distinct()
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64(text), text)
-    kept = docs.join(stay, docs["doc_id"] == stay["__id"], "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+    kept = named.join(gone, named["doc_id"] == gone["__id"], "left_anti").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 

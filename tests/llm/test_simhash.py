@@ -99,3 +99,13 @@ def test_keep_one_of_each_group(spark):
     assert want >= {0, 2, 10, 20, 30, 40} and 7 not in want and len(want) < 10
     assert sorted((r.doc_id for r in got), key=str) == sorted([*want, None, None], key=str)
     assert {r.fp for r in got} == {"c"}
+
+
+def test_unlike_texts_of_one_component_stay(spark, monkeypatch):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "z y x w v u t s"), (4, ""), (5, " ")]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, width, text: docs.selectExpr("doc_id", "7L AS fp"))
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3, 4, 5]
+    assert simhash.similarity(b"", b" ", 5) == 1.0 and simhash.similarity(b"a", b"", 5) == 0.0
+    long = " ".join(map(str, range(100))).encode()
+    assert abs(simhash.similarity(long, long.replace(b"50", b"x"), 5) - 91 / 101) < 1e-9
