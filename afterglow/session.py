@@ -18,6 +18,8 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # joins on (page, day) may use sides dealt by page alone: a page's days are few, and the next step groups by page
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.ui.enabled": "false",
