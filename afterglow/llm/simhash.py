@@ -1,7 +1,8 @@
-"""SimHash near-dedup: fingerprints, covering locality-sensitive hashing, and components of linked documents."""
+"""SimHash near-dedup: fingerprints, covering locality-sensitive hashing, bands of smallest hashes, and components of linked documents."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,10 @@ from afterglow.session import materialise, ship_package
 SEED = 42
 #: A bucket with more different fingerprints than this is covered again on the bits its members may differ in.
 BUCKET_LIMIT = 256
+#: Bands of a text's sketch and smallest hashes in each; texts a document is compared with in each bucket of a band.
+BANDS, BAND_ROWS, NEIGHBOURS = 20, 5, 8
+_draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
+OFFSETS, FACTORS = _draws[0] << np.uint64(1), _draws[1] << np.uint64(1) | np.uint64(1)
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -193,31 +198,103 @@ def similarity(a: bytes, b: bytes, width: int) -> float:
     return both / (len(one) + len(two) - both) if len(one) + len(two) else 1.0
 
 
-def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity: float = 0.8, text: str = "text") -> DataFrame:
-    """The rows of `docs` with all columns, one document of each group of near duplicates: that of the smallest doc_id.
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band of BAND_ROWS smallest hashes; none for a text without shingles.
 
-    Groups are the components of fingerprints. Fingerprints of unlike texts may come near by chance in a large corpus, so
-    a document goes only if its shingles are at least `least_similarity` like those of the document that stays; each is
-    compared with that one alone. Of rows that repeat a doc_id one stays. Rows with a null doc_id cannot stand for a
-    group and all stay.
+    Two texts of Jaccard similarity s share the key of a band with probability s ** BAND_ROWS: at 0.8 at least one key
+    of 20 in 99.96 % of pairs.
     """
-    named = docs.filter(F.col("doc_id").isNotNull())
-    rows = materialise(fingerprints(named, width, text))
-    members = rows.join(components_of(rows, radius), "fp").filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id"), "component_id").distinct()
-    members = materialise(members)
-    texts = named.select(F.col("doc_id").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    own = texts.join(members, "__id")
-    heads = members.select(F.col("component_id").alias("__id")).distinct()
-    # of rows that repeat a doc_id the smallest text speaks for it
-    head = texts.join(heads, "__id", "left_semi").groupBy("__id").agg(F.min("__text").alias("__head")).withColumnRenamed("__id", "__of")
-    pairs = own.join(head, own["component_id"] == head["__of"]).select("__id", "__text", "__head")
+    if not len(hashes):
+        return np.zeros(0, np.uint64)
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1 << 12):
+        least = np.minimum(least, ((hashes[None, at : at + (1 << 12)] ^ OFFSETS[:, None]) * FACTORS[:, None]).min(1))
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, -1))], np.uint64)
+
+
+def sketches(docs: DataFrame, width: int, text: str, bands: bool) -> DataFrame:
+    """doc_id, digest (of the text's bytes, null as empty) and, with `bands`, keys of bands, one row for each doc_id.
+
+    Of rows that repeat a doc_id the one of the smallest hash speaks for it.
+    """
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, keys = [], []
+            for t in raw_texts(batch.column(2)):
+                digests.append(hashlib.blake2b(t, digest_size=16).digest())
+                keys.append(band_keys(shingle_hashes(t, width)).view(np.int64).tolist() if bands else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "h", "digest", "keys"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    found = docs.select("doc_id", F.xxhash64(text).alias("h"), F.col(text)).mapInArrow(run, f"doc_id {id_type}, h long, digest binary, keys array<long>")
+    return found.groupBy("doc_id").agg(F.min(F.struct("h", "digest", "keys")).alias("x")).select("doc_id", "x.digest", "x.keys")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, width: int, least_similarity: float) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose texts' shingles are at least so similar; texts: (__id, __text)."""
+    one = texts.join(pairs.select(F.col("a").alias("__id")).distinct(), "__id", "left_semi")
+    two = texts.join(pairs.select(F.col("b").alias("__id")).distinct(), "__id", "left_semi")
+    first = one.select(F.col("__id").alias("a"), F.col("__text").alias("__a"))
+    second = two.select(F.col("__id").alias("b"), F.col("__text").alias("__b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "__a", "__b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            like = [similarity(a, b, width) >= least_similarity for a, b in zip(raw_texts(batch.column(1)), raw_texts(batch.column(2)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(like, pa.bool_()))], names=["__id"])
+            like = pa.array([similarity(a, b, width) >= least_similarity for a, b in zip(raw_texts(batch.column(2)), raw_texts(batch.column(3)), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(like), batch.column(1).filter(like)], names=["a", "b"])
+
+    id_type = pairs.schema["a"].dataType.simpleString()
+    return both.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
 
-    gone = pairs.mapInArrow(run, f"__id {docs.schema['doc_id'].dataType.simpleString()}").distinct()
+
+def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity: float = 0.8, text: str = "text", bands: bool = False) -> DataFrame:
+    """The rows of `docs` with all columns, one document of each group of near duplicates: that of the smallest doc_id.
+
+    Groups are the components of pairs of texts whose shingles are at least `least_similarity` like each other. Equal texts
+    are joined to one before anything else. Pairs are proposed by fingerprints within `radius` bits and each is checked on
+    the texts. Fingerprints alone miss most pairs of 0.8; with `bands`, texts that share the key of a band are proposed too:
+    first every text with the smallest doc_id of its buckets, then, where these are not yet in one group, with its
+    NEIGHBOURS nearest in each bucket. Buckets of up to NEIGHBOURS + 1 texts are thus compared in full; in larger ones pairs
+    further apart in all orders are linked only through others. Of rows that repeat a doc_id one stays. Rows with a null
+    doc_id cannot stand for a group and all stay.
+    """
+    named = docs.filter(F.col("doc_id").isNotNull())
+    sketched = materialise(sketches(named, width, text, bands))
+    first = sketched.groupBy("digest").agg(F.min("doc_id").alias("__id")).select("__id")
+    own = materialise(sketched.join(first, sketched["doc_id"] == first["__id"], "left_semi").select("doc_id", "keys"))
+    copies = sketched.select("doc_id").join(own.select("doc_id"), "doc_id", "left_anti")
+    texts = named.join(own.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"), F.xxhash64(text).alias("__h"))
+    texts = texts.groupBy("__id").agg(F.min(F.struct("__h", "__text")).alias("x")).select("__id", "x.__text")
+
+    # texts by their fingerprints: each with the first of its own, and the first of linked ones
+    rows = materialise(fingerprints(named, width, text).join(own.select("doc_id"), "doc_id", "left_semi"))
+    heads = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    equal = rows.join(heads, "fp").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    left, right = heads.select(F.col("fp").alias("a"), F.col("first").alias("__a")), heads.select(F.col("fp").alias("b"), F.col("first").alias("__b"))
+    linked = links(heads, radius).join(left, "a").join(right, "b").select(F.col("__a").alias("a"), F.col("__b").alias("b"))
+    # texts by bands; those alike in the next band stand side by side in a bucket
+    keyed = own.select("doc_id", F.posexplode("keys").alias("i", "k"), F.expr("keys[(i + 1) % size(keys)]").alias("next"))
+    bucket = Window.partitionBy("k")
+    order = bucket.orderBy("next", "doc_id")
+    before = F.array_compact(F.array(*(F.lag("doc_id", i).over(order) for i in range(1, NEIGHBOURS + 1))))
+    met = materialise(keyed.select("doc_id", F.min("doc_id").over(bucket).alias("head"), before.alias("before")).filter((F.col("doc_id") != F.col("head")) | (F.size("before") > 0)))
+    by_band = met.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+
+    tried = equal.unionAll(linked).unionAll(by_band).filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    tried = materialise(tried)
+    alike = materialise(similar(tried, texts, width, least_similarity))
+    group = components(alike)
+    near = met.select(F.col("doc_id").alias("a"), F.explode("before").alias("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    of_a, of_b = group.select(F.col("node").alias("a"), F.col("root").alias("__a")), group.select(F.col("node").alias("b"), F.col("root").alias("__b"))
+    apart = near.join(of_a, "a", "left").join(of_b, "b", "left").filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b")
+    apart = materialise(apart.join(tried, ["a", "b"], "left_anti"))
+    if not apart.isEmpty():
+        roots = group.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        group = components(roots.unionAll(similar(apart, texts, width, least_similarity)))
+
+    gone = materialise(copies.unionAll(group.select(F.col("node").alias("doc_id"))).distinct().select(F.col("doc_id").alias("__id")))
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64(text), text)
     kept = named.join(gone, named["doc_id"] == gone["__id"], "left_anti").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))

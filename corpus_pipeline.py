@@ -28,7 +28,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, by shingles of five words."""
-    return simhash.keep_one(docs, width=5, radius=5)
+    return simhash.keep_one(docs, width=5, radius=5, bands=True)
 
 
 def drop_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -109,3 +109,31 @@ def test_unlike_texts_of_one_component_stay(spark, monkeypatch):
     assert simhash.similarity(b"", b" ", 5) == 1.0 and simhash.similarity(b"a", b"", 5) == 0.0
     long = " ".join(map(str, range(100))).encode()
     assert abs(simhash.similarity(long, long.replace(b"50", b"x"), 5) - 91 / 101) < 1e-9
+
+
+def kept_by_brute_force(texts, least=0.8):
+    """Places of the texts that stay, and the pairs of different texts at least so similar."""
+    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    return {i for i, r in enumerate(root) if i == r}, pairs
+
+
+def test_pairs_at_similarity_are_found(spark):
+    """Edited copies of many texts, from 0.8 upwards, far beyond the fingerprints' five bits: all pairs of brute force."""
+    rng = random.Random(3)
+    texts = []
+    for i in range(60):
+        words = [f"w{i}x{rng.randrange(2000)}" for _ in range(200)]
+        texts.append(" ".join(words))
+        for at in rng.sample(range(200), rng.randint(1, 4)):
+            words[at] = "edit"
+        texts.append(" ".join(words))
+    want, pairs = kept_by_brute_force(texts)
+    fps = [simhash.fingerprint(simhash.shingle_hashes(t.encode(), 5)) for t in texts]
+    assert len(pairs) > 50 and sum((fps[i] ^ fps[j]).bit_count() > 5 for i, j in pairs) > 15
+    got = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bands=True).collect()
+    assert {r.doc_id for r in got} == want
