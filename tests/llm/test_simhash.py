@@ -137,3 +137,22 @@ def test_pairs_at_similarity_are_found(spark):
     assert len(pairs) > 50 and sum((fps[i] ^ fps[j]).bit_count() > 5 for i, j in pairs) > 15
     got = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bands=True).collect()
     assert {r.doc_id for r in got} == want
+
+
+def test_drifting_group_goes_to_one(spark):
+    """Forty versions of a text, two words changed from each to the next, every version twice, in no order."""
+    rng = random.Random(4)
+    words = [f"v{rng.randrange(5000)}" for _ in range(400)]
+    versions = []
+    for _ in range(40):
+        for at in rng.sample(range(400), 2):
+            words[at] = f"e{rng.randrange(10**6)}"
+        versions += [" ".join(words)] * 2
+    rng.shuffle(versions)
+    want, _ = kept_by_brute_force(versions)
+    df = spark.createDataFrame(list(enumerate(versions)), "doc_id long, text string")
+    for bands in (True, False):
+        got = [r for r in simhash.keep_one(df, bands=bands).collect()]
+        assert len({r.text for r in got}) == len(got)
+        if bands:
+            assert {r.doc_id for r in got} == want == {0}
