@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,12 +17,38 @@ from afterglow.llm import textblocks as tb
 from afterglow.llm.rows import raw_texts
 from afterglow.session import ship_package
 
-ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
+ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Bytes that the rolling hash sees.
 CONTEXT = 7
 #: A signature has at most so many chunks, so that its comparison fits into one machine word.
 SIGNATURE = 64
 SMALLEST = 2  #: blocks of 2^SMALLEST bytes at least
+#: Random numbers for the rolling hash: one for each byte value, and an odd one for each place.
+VALUES, WEIGHTS = (np.random.default_rng(20240917 + i).integers(0, 1 << 63, size, np.uint64) << np.uint64(1) | np.uint64(1) for i, size in enumerate((256, CONTEXT)))
+
+
+def triggers(data: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """The block size as a power of two, where chunks end at that size, and which of these ends hold at twice that.
+
+    The text is read in windows; whenever as many ends as a signature has letters are at hand, the size doubles, so no more are held.
+    """
+    n, size = len(data), SMALLEST
+    chosen, seen = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    for low in range(0, n, tb.STEP):
+        high = min(low + tb.STEP, n)
+        first = max(low - CONTEXT + 1, 0)
+        values = VALUES[data[first:high]]
+        rolling = values.copy()
+        for back in range(1, min(CONTEXT, len(values))):
+            rolling[back:] += values[:-back] * WEIGHTS[back]
+        rolling = tb.mixed(rolling[low - first :])
+        here = np.flatnonzero(rolling & np.uint64((1 << size) - 1) == 0)
+        chosen, seen = np.concatenate([chosen, here + low]), np.concatenate([seen, rolling[here]])
+        while len(chosen) >= SIGNATURE:
+            size += 1
+            keep = seen & np.uint64((1 << size) - 1) == 0
+            chosen, seen = chosen[keep], seen[keep]
+    return size, chosen, seen & np.uint64((2 << size) - 1) == 0
 
 
 def signatures(data: np.ndarray) -> tuple[int, bytes, bytes]:
@@ -34,30 +61,15 @@ def signatures(data: np.ndarray) -> tuple[int, bytes, bytes]:
     n = len(data)
     if not n:
         return SMALLEST, b"", b""
-    values = tb._BYTE_VALUES[data]
-    rolling = values.copy()
-    weight = np.uint64(1)
-    for back in range(1, min(CONTEXT, n)):
-        weight = np.uint64((int(weight) * tb._BASE) & tb._MASK)
-        rolling[back:] += values[:-back] * weight
-    rolling = (rolling ^ (rolling >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(24)
-    ends = np.flatnonzero(rolling & np.uint64((1 << SMALLEST) - 1) == 0)
-    seen = rolling[ends]
-    size, chosen = SMALLEST, ends
-    while len(chosen) >= SIGNATURE:
-        size += 1
-        keep = seen & np.uint64((1 << size) - 1) == 0
-        chosen, seen = chosen[keep], seen[keep]
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * tb.powers(tb._BASE, n), out=sums[1:])
-    inverse = tb.powers(tb._BASE_INVERSE, n + 1)
+    size, chosen, coarse = triggers(data)
+    view = memoryview(data)
 
     def letters(borders: np.ndarray) -> bytes:
-        edges = np.concatenate([[0], borders + 1, [n]]) if not len(borders) or borders[-1] != n - 1 else np.concatenate([[0], borders + 1])
-        h = tb.mixed((sums[edges[1:]] - sums[edges[:-1]]) * inverse[edges[:-1]] + (edges[1:] - edges[:-1]).astype(np.uint64))
-        return ALPHABET[(h >> np.uint64(58)).astype(int)].tobytes()
+        edges = [0, *(borders + 1).tolist()]
+        if edges[-1] != n:
+            edges.append(n)
+        return bytes([ALPHABET[xxhash.xxh64_intdigest(view[a:b]) >> 58] for a, b in zip(edges, edges[1:], strict=False)])
 
-    coarse = seen & np.uint64((2 << size) - 1) == 0
     return size, letters(chosen), letters(chosen[coarse])
 
 
@@ -86,7 +98,7 @@ def edit_distances(pairs: list[tuple[bytes, bytes]]) -> np.ndarray:
     of = np.repeat(np.arange(count), size_a)
     place = np.arange(len(flat)) - np.repeat(np.cumsum(size_a) - size_a, size_a)
     np.bitwise_or.at(masks, (of, flat), np.uint64(1) << place.astype(np.uint64))
-    full = np.uint64(tb._MASK)
+    full = np.uint64((1 << 64) - 1)
     one = np.uint64(1)
     plus, minus, score, every = np.full(count, full), np.zeros(count, np.uint64), size_a.copy(), np.arange(count)
     top = (np.maximum(size_a, 1) - 1).astype(np.uint64)
@@ -120,20 +132,27 @@ def likeness(pairs: list[tuple[tuple[int, bytes, bytes], tuple[int, bytes, bytes
     return out
 
 
-def leading(text: bytes, points: int) -> bytes:
-    """The first code points of UTF-8 bytes, all if there are fewer."""
+def code_points(text: bytes) -> int:
     data = np.frombuffer(text, np.uint8)
-    starts = np.flatnonzero((data & 0xC0) != 0x80)
-    return text if points >= len(starts) else text[: starts[points]] if points > 0 else b""
+    return sum(int(np.count_nonzero(tb.POINT[data[at : at + tb.STEP]])) for at in range(0, len(data), tb.STEP))
+
+
+def byte_of(text: bytes, point: int) -> int:
+    """The byte at which a code point begins, counted from 0; the end of the text if it has no more."""
+    data = np.frombuffer(text, np.uint8)
+    for at in range(0, len(data), tb.STEP):
+        starts = np.flatnonzero(tb.POINT[data[at : at + tb.STEP]])
+        if point < len(starts):
+            return at + int(starts[point])
+        point -= len(starts)
+    return len(data)
 
 
 def edited(text: bytes, following: bytes) -> tuple[bytes, int]:
     """The text with its last floor(n/2) code points replaced by as many first ones of the following text; and n."""
-    data = np.frombuffer(text, np.uint8)
-    starts = np.flatnonzero((data & 0xC0) != 0x80)
-    n = len(starts)
+    n = code_points(text)
     half = n // 2
-    return (text[: starts[n - half]] if half else text) + leading(following, half), n
+    return text[: byte_of(text, n - half)] + following[: byte_of(following, half)], n
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:

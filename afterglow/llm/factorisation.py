@@ -21,8 +21,7 @@ WORD_BUCKETS = 1 << 14
 STEPS = 16
 LENGTH_BUCKETS = 24
 NAMES = (*quality.RATIOS, "distinct_share", "words_per_line", "punctuation_share", "digit_share", "long_word_share")
-PUNCTUATION = np.zeros(256, bool)
-PUNCTUATION[[ord(c) for c in ".,;:?()'\"-"]] = True
+PUNCTUATION, DIGIT = tb.byte_set(b".,;:?()'\"-"), tb.byte_set(b"0123456789")
 
 
 @dataclass
@@ -45,8 +44,13 @@ def described(block: tb.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     base, ratios = quality.statistics(block)
     n, text, hashes = block.n, block.word_text, block.word_hashes
     bucket = (hashes % np.uint64(WORD_BUCKETS)).astype(np.int64)
-    pairs, counts = np.unique(text * WORD_BUCKETS + bucket, return_counts=True)
-    of, bucket = pairs // WORD_BUCKETS, pairs % WORD_BUCKETS
+    if n == 1:
+        counts = np.bincount(bucket, minlength=WORD_BUCKETS)
+        bucket = np.flatnonzero(counts)
+        of, counts = np.zeros(len(bucket), np.int64), counts[bucket]
+    else:
+        pairs, counts = np.unique(text.astype(np.int64) * WORD_BUCKETS + bucket, return_counts=True)
+        of, bucket = pairs // WORD_BUCKETS, pairs % WORD_BUCKETS
     weight = np.log1p(counts)
     norm = np.sqrt(np.bincount(of, weight**2, minlength=n))
     words, chars = np.maximum(base["n_words"], 1), np.maximum(base["word_chars"], 1)
@@ -56,8 +60,8 @@ def described(block: tb.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         [
             np.bincount(of, minlength=n) / words**0.8,
             np.log1p(words / np.maximum(lines, 1)),
-            block.per_text(PUNCTUATION[block.data]) / chars,
-            block.per_text((block.data >= 48) & (block.data <= 57)) / chars,
+            block.count(PUNCTUATION) / chars,
+            block.count(DIGIT) / chars,
             np.bincount(text[(ends - starts) > 12], minlength=n) / words,
         ],
         axis=1,

@@ -21,40 +21,39 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: What the forest splits on. Plain length is no part of it: the base rules judge that.
 RATIOS = ("symbol_share", "dup_line_share", "repeat_word_share", "word_length", "upper_share", "mark_share", "same_next_share", "top_word_share")
 REPEAT_WIDTH = 8
+UPPER, MARK = tb.byte_set(bytes(range(65, 91))), tb.byte_set(b"!")
 
 
 def statistics(block: tb.Block) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """The base counts of each text, and its ratios as a matrix with a row for each text."""
-    data, space, n = block.data, block.space, block.n
+    n = block.n
     starts, ends = block.words
     text = block.word_text
     n_words = np.diff(block.word_edges)
-    word_chars = block.per_text(((data & 0xC0) != 0x80) & ~space)
-    n_symbols = block.per_text(tb.SYMBOL[data])
+    word_chars, n_symbols = block.count(tb.WORD_POINT), block.count(tb.SYMBOL)
     # lines with a word
     line_start, line_end, line_text = block.lines
     solid = np.searchsorted(starts, line_end) > np.searchsorted(starts, line_start)
     line_start, line_end, line_text = line_start[solid], line_end[solid], line_text[solid]
     n_lines = np.bincount(line_text, minlength=n)
-    n_dup_lines = n_lines - tb.distinct_per_text(line_text, block.hashes(line_start, line_end), n)
+    n_dup_lines = n_lines - np.bincount(tb.run_lengths(line_text, tb.byte_hashes(block.data, line_start, line_end), n)[0], minlength=n)
     # windows of eight words inside one text
     hashes = block.word_hashes
     windows = tb.rolled(hashes, REPEAT_WIDTH)
-    whole = np.flatnonzero(text[: len(windows)] == text[REPEAT_WIDTH - 1 :]) if len(windows) else np.zeros(0, int)
     repeated = np.zeros(len(windows), bool)
-    repeated[whole] = tb.repeated_in_text(text[whole], windows[whole])
+    if n == 1:
+        repeated = tb.repeated_in_text(text[: len(windows)], windows, 1)
+    elif len(windows):
+        whole = np.flatnonzero(text[: len(windows)] == text[REPEAT_WIDTH - 1 :])
+        repeated[whole] = tb.repeated_in_text(text[whole], windows[whole], n)
     covered = tb.covered(repeated, REPEAT_WIDTH, len(hashes))
     n_repeat_words = np.bincount(text[covered], minlength=n)
     base = dict(zip(BASE, (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words), strict=True))
     # the ratios
     some, chars = np.maximum(n_words, 1), np.maximum(word_chars, 1)
     same = np.flatnonzero((hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1])) if len(hashes) else np.zeros(0, int)
-    order = np.lexsort((hashes, text))
     top = np.zeros(n)
-    if len(order):
-        t, h = text[order], hashes[order]
-        first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (h[1:] != h[:-1])]))
-        np.maximum.at(top, t[first], np.diff(np.append(first, len(t))))
+    np.maximum.at(top, *tb.run_lengths(text, hashes, n))
     # the counts of short texts say little, so shares are drawn towards nothing
     damped = some + 10.0
     ratios = np.stack(
@@ -63,8 +62,8 @@ def statistics(block: tb.Block) -> tuple[dict[str, np.ndarray], np.ndarray]:
             n_dup_lines / (n_lines + 3.0),
             n_repeat_words / damped,
             np.where(n_words > 0, np.clip(word_chars / some, 3, 8), 4.5),
-            block.per_text((data >= 65) & (data <= 90)) / (chars + 40.0),
-            block.per_text(data == ord("!")) / (chars + 40.0),
+            block.count(UPPER) / (chars + 40.0),
+            block.count(MARK) / (chars + 40.0),
             np.bincount(text[same], minlength=n) / damped,
             np.where(top > 2, top / (some + 40.0), 0.0),
         ],

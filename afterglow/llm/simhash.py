@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,43 +11,58 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from afterglow.llm import textblocks as tb
 from afterglow.llm.rows import raw_texts
 from afterglow.session import materialise, ship_package
 
 #: XXH64 seed of shingles.
 SEED = 42
-#: A bucket with more different fingerprints than this is covered again on the bits its members may differ in.
+#: A bucket with more different members than this is covered again on the bits they may differ in; one of a band is not compared pair by pair.
 BUCKET_LIMIT = 256
-#: Bands of a text's sketch and smallest hashes in each; texts a document is compared with in each bucket of a band.
+#: Bands of a text's sketch and smallest hashes in each; texts a document is compared with in each large bucket of a band.
 BANDS, BAND_ROWS, NEIGHBOURS = 20, 5, 8
 _draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
 OFFSETS, FACTORS = _draws[0] << np.uint64(1), _draws[1] << np.uint64(1) | np.uint64(1)
 
 
+def shingle_parts(text: bytes, width: int) -> Iterator[np.ndarray]:
+    """XXH64 of each run of `width` words of a text with A-Z lower-cased, in parts of about a million bytes of text; of all
+    words if there are fewer; none without words."""
+    words: list[bytes] = []
+    digest, some = xxhash.xxh64_intdigest, False
+    for part in tb.windows_of(text):
+        words += part.lower().split()
+        if len(words) < width:
+            continue
+        joined = b" ".join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        ends = (starts + sizes)[width - 1 :].tolist()
+        yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends, strict=False)], np.uint64)
+        words, some = words[len(words) - width + 1 :], True
+    if words and not some:
+        yield np.array([digest(b" ".join(words), SEED)], np.uint64)
+
+
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
-    """XXH64 of each run of `width` words of a text with A-Z lower-cased; of all words if there are fewer; none without words."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < width:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
-    joined = b" ".join(words)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    ends = (starts + sizes)[width - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends, strict=False)], np.uint64)
+    """All of `shingle_parts`."""
+    return np.concatenate([np.zeros(0, np.uint64), *shingle_parts(text, width)])
 
 
 def fingerprint(hashes: np.ndarray) -> int:
     """The 64-bit number whose bits are set where more than half of the hashes have theirs set."""
-    if not len(hashes):
-        return 0
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return sum(1 << i for i in np.flatnonzero(2 * ones > len(hashes)).tolist())
+    return majority([hashes])
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The fingerprint of hashes given in parts."""
+    ones, count = np.zeros(64, np.int64), 0
+    for hashes in parts:
+        count += len(hashes)
+        for at in range(0, len(hashes), 1 << 16):
+            part = hashes[at : at + (1 << 16)]
+            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return sum(1 << i for i in np.flatnonzero(2 * ones > count).tolist())
 
 
 def signed(value: int) -> int:
@@ -60,30 +75,53 @@ def fingerprints(docs: DataFrame, width: int, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [signed(fingerprint(shingle_hashes(t, width))) for t in raw_texts(batch.column(1))]
+            found = [signed(majority(shingle_parts(t, width))) for t in raw_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col(text)).mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
+@lru_cache
+def _vectors(radius: int) -> list[int]:
+    """The nonzero vectors of radius + 1 bits, ordered so that the first few already have odd products with every vector,
+    as often for each as can be."""
+    size = (2 << radius) - 1
+    odd = [0] * (size + 1)
+    found: list[int] = []
+    left = list(range(1, size + 1))
+    while left:
+        best = max(left, key=lambda x: (sorted(odd[v] + ((x & v).bit_count() & 1) for v in range(1, size + 1)), -x))
+        left.remove(best)
+        found.append(best)
+        for v in range(1, size + 1):
+            odd[v] += (best & v).bit_count() & 1
+    return found
+
+
 def covering_masks(bits: list[int], radius: int = 2) -> list[int]:
     """2^(radius+1) - 1 masks over the given bits so that any `radius` of the bits are all outside one of them.
 
     Each bit carries a nonzero vector of radius + 1 bits, in turn; mask v keeps the bits whose vector has an odd product
     with v. So many vectors span less than the whole space, so some nonzero v is orthogonal to all of them: numbers that
-    differ in `radius` or fewer of the bits agree under that mask.
+    differ in `radius` or fewer of the bits agree under that mask. Of more than `radius` bits each mask keeps one at least.
     """
-    size = (2 << radius) - 1
-    return [sum(1 << b for i, b in enumerate(bits) if ((i % size + 1) & v).bit_count() & 1) for v in range(1, size + 1)]
+    vectors = _vectors(radius)
+    return [sum(1 << b for i, b in enumerate(bits) if (vectors[i % len(vectors)] & v).bit_count() & 1) for v in range(1, len(vectors) + 1)]
+
+
+@lru_cache(maxsize=1 << 14)
+def masks_beyond(kept: int, radius: int) -> list[int]:
+    """Masks that keep what `kept` keeps and cover the other bits."""
+    return sorted({kept | mask for mask in covering_masks([b for b in range(64) if not kept >> b & 1], radius)})
 
 
 def tables(depth: int, radius: int = 2) -> list[int]:
     """Kept bits of each table: covered once, or again on the bits left over, `depth` times."""
     found = [0]
     for _ in range(depth):
-        found = [kept | mask for kept in found for mask in covering_masks([b for b in range(64) if not kept >> b & 1], radius)]
-    return sorted(set(found))
+        found = sorted({mask for kept in found for mask in masks_beyond(kept, radius)})
+    return found
 
 
 def _links_in(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -109,39 +147,53 @@ def _links_in(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
 def links(found: DataFrame, radius: int = 2) -> DataFrame:
     """Edges (a, b) that join all different fingerprints within `radius` bits of each other, as star-shaped groups a bucket.
 
-    Every pair within the radius meets in a bucket of some covering mask. A bucket larger than BUCKET_LIMIT goes to
-    tables that also cover the bits its members may still differ in: for radius 2, 36 kept bits, then 52, then 60, where
-    a bucket has at most 16 different members; for larger radii about 32, then 48. No bucket is cut.
+    `found` has each fingerprint `fp` once; null ones link to nothing and an empty table has no edges. Every pair within
+    the radius meets in a bucket of some covering mask. A bucket of more than BUCKET_LIMIT is covered again on the bits that
+    its members may still differ in, and so on: every time each mask keeps at least one more bit, mostly half of those left,
+    and a bucket that keeps all but eight bits has 256 different members at most. So no bucket is cut, and none that is
+    compared has more members than BUCKET_LIMIT or 2^(radius+1).
     """
+    ship_package(found.sparkSession)
+    limit = max(BUCKET_LIMIT, 2 << radius)
+    first = [F.struct(F.lit(signed(m)).alias("kept"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for m in tables(1, radius)]
+    keyed = found.filter("fp IS NOT NULL").select("fp", F.explode(F.array(first)).alias("x")).select("fp", "x.kept", "x.k")
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, kepts = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().view(np.uint64)
+            out: list[list[np.ndarray]] = [[], []]
+            for kept in np.unique(kepts):
+                own = fps[kepts == kept]
+                for mask in masks_beyond(int(kept), radius):
+                    out[0].append(own)
+                    out[1].append(np.full(len(own), mask, np.uint64))
+            fp, mask = (np.concatenate([np.zeros(0, np.uint64), *part]) for part in out)
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (fp, mask, fp & mask)], names=["fp", "kept", "k"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [p for members in batch.column(0) for p in _links_in(members.values.to_numpy(), radius)]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+
     edges = None
-    levels = 3 if radius <= 2 else 2
-    rows = found.select("fp")
-    for depth in range(1, levels + 1):
-        masks = tables(depth, radius)
-        keyed = rows.select("fp", F.explode(F.array([F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for i, m in enumerate(masks)])).alias("x")).select("fp", "x.t", "x.k")
-        sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        shared = keyed.join(sizes, ["t", "k"])
-        small = shared if depth == levels else shared.filter(F.col("n") <= BUCKET_LIMIT)
-        buckets = small.groupBy("t", "k").agg(F.array_sort(F.collect_list("fp")).alias("members")).select("members")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                pairs = [p for members in batch.column(0) for p in _links_in(members.values.to_numpy(), radius)]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
-
-        here = buckets.mapInArrow(run, "a long, b long")
+    while True:
+        sizes = keyed.groupBy("kept", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        shared = keyed.join(sizes, ["kept", "k"])
+        buckets = shared.filter(F.col("n") <= limit).groupBy("kept", "k").agg(F.array_sort(F.collect_set("fp")).alias("members")).select("members")
+        here = buckets.mapInArrow(link, "a long, b long")
         edges = here if edges is None else edges.unionAll(here)
-        if depth < levels:
-            rows = materialise(shared.filter(F.col("n") > BUCKET_LIMIT).select("fp").distinct())
-            if rows.isEmpty():
-                break
-    return edges.distinct()
+        crowded = materialise(shared.filter(F.col("n") > limit).select("fp", "kept").distinct())
+        if crowded.isEmpty():
+            return edges.distinct()
+        keyed = materialise(crowded.mapInArrow(cover, "fp long, kept long, k long").distinct())
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node of the edges, by alternating large and small stars.
 
-    Each round is a few grouped joins over the edges that are left, written to the shared checkpoint folder.
+    Each round is a few grouped joins over the edges that are left, written to the shared checkpoint folder. Edges may
+    repeat, in either direction; those of a node with itself or with null count for nothing, and a table without others
+    gives no rows. Nodes are of any ordered type, structs included.
     """
     now = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     if now.isEmpty():
@@ -198,46 +250,45 @@ def similarity(a: bytes, b: bytes, width: int) -> float:
     return both / (len(one) + len(two) - both) if len(one) + len(two) else 1.0
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
+def band_keys(parts: Iterable[np.ndarray]) -> np.ndarray:
     """A key for each band of BAND_ROWS smallest hashes; none for a text without shingles.
 
     Two texts of Jaccard similarity s share the key of a band with probability s ** BAND_ROWS: at 0.8 at least one key
     of 20 in 99.96 % of pairs.
     """
-    if not len(hashes):
-        return np.zeros(0, np.uint64)
-    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1 << 12):
-        least = np.minimum(least, ((hashes[None, at : at + (1 << 12)] ^ OFFSETS[:, None]) * FACTORS[:, None]).min(1))
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, -1))], np.uint64)
-
+    least, some = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64), False
+    for hashes in parts:
+        some = some or len(hashes) > 0
+        for at in range(0, len(hashes), 1 << 12):
+            least = np.minimum(least, ((hashes[None, at : at + (1 << 12)] ^ OFFSETS[:, None]) * FACTORS[:, None]).min(1))
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, -1))] if some else [], np.uint64)
 
-def sketches(docs: DataFrame, width: int, text: str, bands: bool) -> DataFrame:
-    """doc_id, digest (of the text's bytes, null as empty) and, with `bands`, keys of bands, one row for each doc_id.
 
-    Of rows that repeat a doc_id the one of the smallest hash speaks for it.
-    """
+def sketches(docs: DataFrame, width: int, bands: bool) -> DataFrame:
+    """(doc_id, digest, fp, keys) of documents with doc_id, digest and __text: their fingerprint and, with `bands`, keys of bands."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, keys = [], []
+            fps, keys = [], []
             for t in raw_texts(batch.column(2)):
-                digests.append(hashlib.blake2b(t, digest_size=16).digest())
-                keys.append(band_keys(shingle_hashes(t, width)).view(np.int64).tolist() if bands else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "h", "digest", "keys"])
+                if len(t) <= 16 * tb.STEP:
+                    hashes = [shingle_hashes(t, width)]
+                    fps.append(signed(majority(hashes)))
+                    keys.append(band_keys(hashes).view(np.int64) if bands else [])
+                else:  # hashed twice rather than held
+                    fps.append(signed(majority(shingle_parts(t, width))))
+                    keys.append(band_keys(shingle_parts(t, width)).view(np.int64) if bands else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "fp", "keys"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", F.xxhash64(text).alias("h"), F.col(text)).mapInArrow(run, f"doc_id {id_type}, h long, digest binary, keys array<long>")
-    return found.groupBy("doc_id").agg(F.min(F.struct("h", "digest", "keys")).alias("x")).select("doc_id", "x.digest", "x.keys")
+    return docs.select("doc_id", "digest", "__text").mapInArrow(run, f"doc_id {id_type}, digest binary, fp long, keys array<long>")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, width: int, least_similarity: float) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose texts' shingles are at least so similar; texts: (__id, __text)."""
-    one = texts.join(pairs.select(F.col("a").alias("__id")).distinct(), "__id", "left_semi")
-    two = texts.join(pairs.select(F.col("b").alias("__id")).distinct(), "__id", "left_semi")
-    first = one.select(F.col("__id").alias("a"), F.col("__text").alias("__a"))
-    second = two.select(F.col("__id").alias("b"), F.col("__text").alias("__b"))
+    """The pairs (a, b) of nodes whose texts' shingles are at least so similar; texts: (__id, __text)."""
+    first = texts.select(F.col("__id").alias("a"), F.col("__text").alias("__a"))
+    second = texts.select(F.col("__id").alias("b"), F.col("__text").alias("__b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "__a", "__b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,54 +300,74 @@ def similar(pairs: DataFrame, texts: DataFrame, width: int, least_similarity: fl
     return both.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
 
 
+def ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different nodes, once each, the larger first."""
+    return pairs.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def apart_in_buckets(met: DataFrame, group: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket of a band that are not in one group yet; met: (id, k, n, before).
+
+    All of them in buckets of up to BUCKET_LIMIT, those with the neighbours `before` in larger ones.
+    """
+    root = group.select(F.col("node").alias("id"), "root")
+    known = met.join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    split = known.filter(F.col("n") <= BUCKET_LIMIT).groupBy("k").agg(F.min("root").alias("one"), F.max("root").alias("other"), F.collect_list(F.struct("id", "root")).alias("members")).filter("one <> other")
+    member = split.select("members", F.explode("members").alias("x"))
+    within = member.select(F.col("x.id").alias("a"), F.explode(F.filter("members", lambda m: (m["root"] != F.col("x.root")) & (m["id"] < F.col("x.id")))).alias("y")).select("a", F.col("y.id").alias("b"))
+    near = known.filter(F.col("n") > BUCKET_LIMIT).select(F.col("id").alias("a"), "root", F.explode("before").alias("b"))
+    of_b = group.select(F.col("node").alias("b"), F.col("root").alias("__b"))
+    beside = near.join(of_b, "b", "left").filter(F.col("root") != F.coalesce("__b", "b")).select("a", "b")
+    return ordered(within.unionAll(beside))
+
+
 def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity: float = 0.8, text: str = "text", bands: bool = False) -> DataFrame:
     """The rows of `docs` with all columns, one document of each group of near duplicates: that of the smallest doc_id.
 
     Groups are the components of pairs of texts whose shingles are at least `least_similarity` like each other. Equal texts
     are joined to one before anything else. Pairs are proposed by fingerprints within `radius` bits and each is checked on
     the texts. Fingerprints alone miss most pairs of 0.8; with `bands`, texts that share the key of a band are proposed too:
-    first every text with the smallest doc_id of its buckets, then, where these are not yet in one group, with its
-    NEIGHBOURS nearest in each bucket. Buckets of up to NEIGHBOURS + 1 texts are thus compared in full; in larger ones pairs
-    further apart in all orders are linked only through others. Of rows that repeat a doc_id one stays. Rows with a null
-    doc_id cannot stand for a group and all stay.
+    first every text with the smallest of its buckets, then all pairs of a bucket that are not yet in one group. In buckets of
+    more than BUCKET_LIMIT different texts these are each text and its NEIGHBOURS nearest by their next band.
+
+    A document is a doc_id with a text: rows that repeat both are one and one row stays; rows of one doc_id with unlike
+    texts all stay. Null and empty texts have no shingles and are equal. Rows with a null doc_id cannot stand for a group and
+    all stay; an empty table gives none. Columns of any name pass through.
     """
-    named = docs.filter(F.col("doc_id").isNotNull())
-    sketched = materialise(sketches(named, width, text, bands))
-    first = sketched.groupBy("digest").agg(F.min("doc_id").alias("__id")).select("__id")
-    own = materialise(sketched.join(first, sketched["doc_id"] == first["__id"], "left_semi").select("doc_id", "keys"))
-    copies = sketched.select("doc_id").join(own.select("doc_id"), "doc_id", "left_anti")
-    texts = named.join(own.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"), F.xxhash64(text).alias("__h"))
-    texts = texts.groupBy("__id").agg(F.min(F.struct("__h", "__text")).alias("x")).select("__id", "x.__text")
+    digest = F.substring(F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)), 1, 16)
+    rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", digest.alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("__text"), F.struct("*").alias("__row"))
+    sketched = materialise(sketches(rows, width, bands).groupBy("doc_id", "digest").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys")))
+    # a node for each different text: the smallest doc_id that has it, and its digest
+    own = materialise(sketched.groupBy("digest").agg(F.min("doc_id").alias("d"), F.first("fp").alias("fp"), F.first("keys").alias("keys")).select(F.struct("d", "digest").alias("id"), "fp", "keys"))
 
     # texts by their fingerprints: each with the first of its own, and the first of linked ones
-    rows = materialise(fingerprints(named, width, text).join(own.select("doc_id"), "doc_id", "left_semi"))
-    heads = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    equal = rows.join(heads, "fp").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    heads = materialise(own.groupBy("fp").agg(F.min("id").alias("first")))
+    equal = own.join(heads, "fp").select(F.col("id").alias("a"), F.col("first").alias("b"))
     left, right = heads.select(F.col("fp").alias("a"), F.col("first").alias("__a")), heads.select(F.col("fp").alias("b"), F.col("first").alias("__b"))
     linked = links(heads, radius).join(left, "a").join(right, "b").select(F.col("__a").alias("a"), F.col("__b").alias("b"))
     # texts by bands; those alike in the next band stand side by side in a bucket
-    keyed = own.select("doc_id", F.posexplode("keys").alias("i", "k"), F.expr("keys[(i + 1) % size(keys)]").alias("next"))
+    keyed = own.select("id", F.posexplode("keys").alias("i", "k"), F.expr("keys[(i + 1) % size(keys)]").alias("next"))
     bucket = Window.partitionBy("k")
-    order = bucket.orderBy("next", "doc_id")
-    before = F.array_compact(F.array(*(F.lag("doc_id", i).over(order) for i in range(1, NEIGHBOURS + 1))))
-    met = materialise(keyed.select("doc_id", F.min("doc_id").over(bucket).alias("head"), before.alias("before")).filter((F.col("doc_id") != F.col("head")) | (F.size("before") > 0)))
-    by_band = met.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-
-    tried = equal.unionAll(linked).unionAll(by_band).filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    tried = materialise(tried)
+    order = bucket.orderBy("next", "id")
+    before = F.array_compact(F.array(*(F.lag("id", i).over(order) for i in range(1, NEIGHBOURS + 1))))
+    met = materialise(keyed.select("id", "k", F.min("id").over(bucket).alias("head"), F.count(F.lit(1)).over(bucket).alias("n"), before.alias("before")).filter("n > 1"))
+
+    tried = materialise(ordered(equal.unionAll(linked).unionAll(met.select(F.col("id").alias("a"), F.col("head").alias("b")))))
+    # texts that any pair may ask for: those met by a fingerprint or in a bucket
+    asked = tried.select("a").unionAll(tried.select(F.col("b").alias("a"))).unionAll(met.select(F.col("id").alias("a"))).distinct().select(F.col("a.d").alias("doc_id"), F.col("a.digest").alias("digest"))
+    texts = materialise(rows.select("doc_id", "digest", "__text").join(asked, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"]).select(F.struct(F.col("doc_id").alias("d"), "digest").alias("__id"), "__text"))
     alike = materialise(similar(tried, texts, width, least_similarity))
     group = components(alike)
-    near = met.select(F.col("doc_id").alias("a"), F.explode("before").alias("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    of_a, of_b = group.select(F.col("node").alias("a"), F.col("root").alias("__a")), group.select(F.col("node").alias("b"), F.col("root").alias("__b"))
-    apart = near.join(of_a, "a", "left").join(of_b, "b", "left").filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b")
-    apart = materialise(apart.join(tried, ["a", "b"], "left_anti"))
+    apart = materialise(apart_in_buckets(met, group).join(tried, ["a", "b"], "left_anti"))
     if not apart.isEmpty():
         roots = group.select(F.col("node").alias("a"), F.col("root").alias("b"))
         group = components(roots.unionAll(similar(apart, texts, width, least_similarity)))
 
-    gone = materialise(copies.unionAll(group.select(F.col("node").alias("doc_id"))).distinct().select(F.col("doc_id").alias("__id")))
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(text), text)
-    kept = named.join(gone, named["doc_id"] == gone["__id"], "left_anti").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+    # of each digest its node stays, unless that belongs to another
+    gone = group.select(F.col("node.d").alias("d"), F.col("node.digest").alias("digest"))
+    stay = own.select("id.d", "id.digest").join(gone, ["d", "digest"], "left_anti").select(F.col("d").alias("doc_id"), "digest")
+    once = Window.partitionBy("doc_id", "digest").orderBy(F.lit(1))
+    kept = rows.select("doc_id", "digest", "__row").join(stay, ["doc_id", "digest"], "left_semi").withColumn("__n", F.row_number().over(once)).filter("__n = 1").select("__row.*")
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 

@@ -6,10 +6,13 @@ windows anchored there, is a segment. The different segments of an anchor are a
 weighted by how often each occurs, is streamed with the segments, and the matching statistics tell which windows occur
 twice. Anchors seen once in the corpus are never looked at again.
 
-Broadcasting every shard to every document would cost the square of the corpus, so a document's segments are routed to the
-shards they can match. Where all segments of an anchor are equal, each window occurs as often as the anchor, and no text is
-fetched. A shard holds at most SHARD_SEGMENTS occurrences; an anchor with more is too common, and the windows of its
-different segments are counted one by one in another grouped pass, which is exact as well.
+The method as named broadcasts every shard to every document, which costs the square of the corpus. Here a document's
+segments are routed to the shards they can match instead, and not all go through an automaton:
+
+- where all segments of an anchor have one hash of all their words, each window occurs as often as the anchor does, which
+  is what the automaton of a single segment would say; no text is fetched;
+- an anchor with more than SHARD_SEGMENTS occurrences would make a shard of no fixed size, so the windows of its different
+  segments are counted one by one in a grouped pass, by 128-bit digests. That is exact, but no automaton.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from afterglow.llm import textblocks as tb
-from afterglow.llm.rows import raw_texts
+from afterglow.llm.spread import spread_join
 from afterglow.session import materialise, ship_package
 
 #: Segments of one anchor, repeated ones included, that a shard holds at most.
@@ -125,21 +128,23 @@ def repeated_windows(segments: list[tuple[list, int]], window: int) -> list[int]
 
 def anchors(block: tb.Block, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window inside one text: its first word, its anchor's word, and the anchor's hash."""
-    width = anchor_width(window)
-    grams = tb.rolled(block.word_hashes, width)
-    text = block.word_text
-    starts = np.flatnonzero(text[: max(len(text) - window + 1, 0)] == text[window - 1 :]) if len(text) >= window else np.zeros(0, np.int64)
-    if not len(starts):
-        return starts, starts, np.zeros(0, np.uint64)
-    size = window - width + 1
-    best, at, have = grams, np.arange(len(grams)), 1
-    while have < size:  # smallest of ever longer runs, the first of equals
-        step = min(have, size - have)
-        left, right = best[:-step], best[step:]
-        later = right < left
-        best, at = np.where(later, right, left), np.where(later, at[step:], at[:-step])
-        have += step
-    return starts, at[starts], best[starts]
+    width, size = anchor_width(window), window - anchor_width(window) + 1
+    text, hashes = block.word_text, block.word_hashes
+    out: list[list[np.ndarray]] = [[np.zeros(0, block.kind)], [np.zeros(0, block.kind)], [np.zeros(0, np.uint64)]]
+    for low in range(0, len(text) - window + 1, tb.STEP):
+        high = min(low + tb.STEP, len(text) - window + 1)
+        inside = np.flatnonzero(text[low:high] == text[low + window - 1 : high + window - 1])
+        grams = tb.rolled(hashes[low : high + window - 1], width)
+        best, at, have = grams, np.arange(len(grams), dtype=np.int32), 1
+        while have < size:  # smallest of ever longer runs, the first of equals
+            step = min(have, size - have)
+            left, right = best[:-step], best[step:]
+            later = right < left
+            best, at = np.where(later, right, left), np.where(later, at[step:], at[:-step])
+            have += step
+        for part, found in zip(out, ((inside + low).astype(block.kind), (at[inside] + low).astype(block.kind), best[inside]), strict=True):
+            part.append(found)
+    return tuple(np.concatenate(part) for part in out)
 
 
 @dataclass
@@ -156,16 +161,12 @@ class Segments:
 def segments(block: tb.Block, window: int) -> Segments:
     starts, at, grams = anchors(block, window)
     new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)])) if len(starts) else np.zeros(0, np.int64)
-    first, count = starts[new], np.diff(np.append(new, len(starts)))
-    return Segments(first, count, grams[new], tb.range_hashes(block.word_hashes, first, first + count + window - 1), block.word_text[first])
-
-
-def key_columns(text: str) -> list:
-    """96 bits that stand for a row: of its id and its text together, and of its id."""
-    return [F.xxhash64("doc_id", text).alias("__k1"), F.hash("doc_id").alias("__k2")]
+    first, count = starts[new].astype(np.int64), np.diff(np.append(new, len(starts)))
+    return Segments(first, count, grams[new], tb.range_hashes(block.word_hashes, first, first + count + window - 1), block.word_text[first].astype(np.int64))
 
 
-KEY = ["__k1", "__k2"]
+#: A row, by 128 bits of its doc_id and text.
+KEY = "__key"
 
 
 def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> DataFrame:
@@ -176,34 +177,37 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Da
     stay are joined by one space.
 
     A null text has no words. Each row is a document: rows that are wholly equal repeat each other. A null doc_id is a key
-    like any other; an empty table gives an empty result. Columns of the same name as a new one are replaced.
+    like any other; an empty table gives an empty result. Columns of the same name as a new one are replaced, all others
+    pass through, whatever their names.
     """
     spark = docs.sparkSession
     ship_package(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     named = [c for c in docs.columns if c not in ("kept_text", "n_words", "n_removed")]
+    key = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.col(text), F.lit("")))))
+    keyed = docs.select(key.alias(KEY), F.col(text).alias("__text"), F.struct(*named).alias("__row"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in tb.blocks(batch.column(2)):
+            for block in tb.blocks(batch.column(1)):
                 found = segments(block, window)
                 place = (found.first - block.word_edges[found.text]) << 8 | found.count
                 at = pa.array(found.text + block.rows[0])
-                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(place), pa.array(found.anchor.view(np.int64)), pa.array(found.words.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "place", "anchor", "words"])
+                columns = [batch.column(0).take(at), pa.array(place), pa.array(found.anchor.view(np.int64)), pa.array(found.words.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=[KEY, "place", "anchor", "words"])
 
-    each = docs.select(*key_columns(text), F.col(text)).mapInArrow(find, "__k1 long, __k2 int, place long, anchor long, words long")
+    each = keyed.select(KEY, "__text").mapInArrow(find, f"{KEY} binary, place long, anchor long, words long")
     # anchors seen twice, and whether what lies around them is always the same
     seen = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("least"), F.max("words").alias("most")).filter("n > 1")
-    known = seen.select("anchor", (F.col("least") == F.col("most")).alias("equal"), (F.col("n") > SHARD_SEGMENTS).alias("crowded"))
-    hits = materialise(each.join(known, "anchor"))
-    alike = hits.filter("equal").select(*KEY, F.shiftright("place", 8).alias("start"), (F.expr("shiftleft(1L, cast(place & 255 as int))") - 1).alias("mask"))
+    known = materialise(seen.select("anchor", "n", (F.col("least") == F.col("most")).alias("equal"), (F.col("n") > SHARD_SEGMENTS).alias("crowded")))
+    hits = materialise(spread_join(each, known, "anchor", by=F.xxhash64(KEY, "place")))
+    alike = hits.filter("equal").select(KEY, F.shiftright("place", 8).alias("start"), (F.expr("shiftleft(1L, cast(place & 255 as int))") - 1).alias("mask"))
     unlike = hits.filter("NOT equal")
 
     # the documents dealt by key once: for the texts of unlike segments, and for the removal
-    dealt = docs.select(*key_columns(text), *named).repartition(n, *KEY)
-    wanted = unlike.groupBy(*KEY).agg(F.collect_set(F.struct("anchor", "crowded")).alias("wanted"))
-    texts = dealt.select(*KEY, F.col(text).alias("__text")).join(wanted, KEY)
+    dealt = keyed.repartition(n, KEY)
+    wanted = unlike.groupBy(KEY).agg(F.collect_set(F.struct("anchor", "crowded")).alias("wanted"))
+    texts = dealt.select(KEY, "__text").join(wanted, KEY)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,12 +218,12 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Da
                 crowded = {(t, a): c for t, a, c in zip(np.repeat(np.arange(block.n), np.diff(edges)).tolist(), inner.field(0).to_pylist(), inner.field(1).to_pylist(), strict=True)}
                 found = segments(block, window)
                 starts, ends = block.words
-                data = block.data.tobytes()
+                data = memoryview(block.data)
                 out: list[list] = [[], [], [], []]
                 for t, anchor, words, a, size in zip(found.text.tolist(), found.anchor.view(np.int64).tolist(), found.words.view(np.int64).tolist(), found.first.tolist(), found.count.tolist(), strict=True):
                     common = crowded.get((t, anchor))
                     if common is not None:
-                        piece = b" ".join(data[starts[a] : ends[a + size + window - 2]].split())
+                        piece = b" ".join(bytes(data[starts[a] : ends[a + size + window - 2]]).split())
                         for column, v in zip(out, (anchor, words, piece, common), strict=True):
                             column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.bool_()), strict=True)], names=["anchor", "words", "piece", "crowded"])
@@ -227,24 +231,29 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Da
     pieces = texts.select("__text", "wanted").mapInArrow(cut, "anchor long, words long, piece binary, crowded boolean").groupBy("anchor", "words", "piece", "crowded").agg(F.count(F.lit(1)).alias("n"))
     judged = materialise(_judged(pieces, window))
     counted = judged.filter("window IS NOT NULL")
-    twice = counted.groupBy("window").agg(F.sum("n").alias("n")).filter("n > 1").select("window")
-    by_window = counted.join(twice, "window", "left_semi").groupBy("anchor", "words").agg(F.bit_or("mask").alias("mask"))
+    twice = materialise(counted.groupBy("window").agg(F.sum("n").alias("times"), F.count(F.lit(1)).alias("n")).filter("times > 1").select("window", "n"))
+    by_window = spread_join(counted.drop("n"), twice, "window", by=F.xxhash64("anchor", "words"), how="left_semi").groupBy("anchor", "words").agg(F.bit_or("mask").alias("mask"))
     masks = judged.filter("window IS NULL").select("anchor", "words", "mask").unionAll(by_window)
-    partly = unlike.join(masks, ["anchor", "words"]).select(*KEY, F.shiftright("place", 8).alias("start"), "mask")
-    gone = alike.unionAll(partly).groupBy(*KEY).agg(F.collect_set(F.struct("start", "mask")).alias("__gone"))
-    out = dealt.join(gone, KEY, "left").select(*named, "__gone")
+    # a segment is named by its anchor and words together, so copies of one passage are the hot names here
+    times = unlike.groupBy("anchor", "words").agg(F.count(F.lit(1)).alias("n"))
+    name = F.struct("anchor", "words").alias("name")
+    marked = materialise(times.join(masks, ["anchor", "words"]).select(name, "mask", "n"))
+    partly = spread_join(unlike.select(KEY, "place", name), marked, "name", by=F.xxhash64(KEY, "place")).select(KEY, F.shiftright("place", 8).alias("start"), "mask")
+    gone = alike.unionAll(partly).groupBy(KEY).agg(F.collect_set(F.struct("start", "mask")).alias("__gone"))
+    out = dealt.join(gone, KEY, "left").select("__text", "__gone", "__row")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts, removed = [], [], []
-            for value, spans in zip(raw_texts(batch.column(named.index(text))), batch.column(len(named)), strict=True):
-                words = value.split()
-                counts.append(len(words))
-                drop = covered_words(spans, window, len(words))
-                removed.append(int(drop.sum()))
-                texts.append(b" ".join([words[i] for i in np.flatnonzero(~drop).tolist()]) if removed[-1] else b" ".join(words))
-            extra = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(named)], *extra], names=[*named, "kept_text", "n_words", "n_removed"])
+            texts, counts, removed = [pa.array([], pa.large_string())], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for block in tb.blocks(batch.column(0)):
+                drop = covered_words(block, batch.column(1).slice(block.rows[0], block.n), window)
+                counts.append(np.diff(block.word_edges).astype(np.int64))
+                removed.append(np.bincount(block.word_text[drop], minlength=block.n).astype(np.int64))
+                texts.append(kept_texts(block, ~drop))
+            kept = pa.concat_arrays(texts)
+            row = batch.column(2)
+            extra = [kept.cast(pa.string()) if kept.nbytes < 1 << 31 else kept, pa.array(np.concatenate(counts)), pa.array(np.concatenate(removed))]
+            yield pa.RecordBatch.from_arrays([*row.flatten(), *extra], names=[*named, "kept_text", "n_words", "n_removed"])
 
     schema = docs.select(*named).schema
     for name, kind in (("kept_text", "string"), ("n_words", "long"), ("n_removed", "long")):
@@ -252,18 +261,40 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Da
     return out.mapInArrow(remove, schema)
 
 
-def covered_words(spans: pa.ListScalar, window: int, total: int) -> np.ndarray:
-    """Words covered by the repeated windows of (first word, mask of windows from there)."""
-    if not spans.is_valid or not total:
-        return np.zeros(total, bool)
-    start, mask = spans.values.field(0).to_numpy(), spans.values.field(1).to_numpy()
-    bits = (mask[:, None] >> np.arange(MAX_WINDOWS)) & 1
-    row, bit = np.nonzero(bits)
+def covered_words(block: tb.Block, spans: pa.ListArray, window: int) -> np.ndarray:
+    """Words of a block covered by the repeated windows of each text: lists of (first word, mask of windows from there)."""
+    total = len(block.word_text)
     flags = np.zeros(total, bool)
-    flags[start[row] + bit] = True
+    sizes = spans.value_lengths().fill_null(0).to_numpy()
+    inner = spans.flatten()
+    if len(inner):
+        start = inner.field(0).to_numpy() + np.repeat(block.word_edges[:-1], sizes)
+        mask = inner.field(1).to_numpy()
+        for bit in range(MAX_WINDOWS):
+            flags[start[mask >> bit & 1 == 1] + bit] = True
     return tb.covered(flags, window, total)
 
 
+def kept_texts(block: tb.Block, keep: np.ndarray) -> pa.LargeStringArray:
+    """The kept words of each text of a block, joined by one space."""
+    starts, ends = (places[keep] for places in block.words)
+    edges = np.searchsorted(starts, block.edges.astype(block.kind))
+    last = np.zeros(len(starts), bool)
+    last[edges[1:][edges[1:] > edges[:-1]] - 1] = True
+    sizes = (ends - starts).astype(np.int64) + ~last  # a space follows each word but a text's last
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    change = np.zeros(len(block.data) + 1, np.int8)
+    change[starts] = 1
+    change[ends[last]] -= 1
+    after = ends[~last] + 1  # white space that becomes the space between
+    change[after] -= 1
+    data = block.data.copy()
+    data[after - 1] = 0x20
+    np.cumsum(change, out=change)
+    kept = data[change[:-1].view(bool)]
+    return pa.LargeStringArray.from_buffers(block.n, pa.py_buffer(offsets[edges].astype(np.int64)), pa.py_buffer(kept))
+
+
 def _judged(pieces: DataFrame, window: int) -> DataFrame:
     """(anchor, words, mask) of segments with repeated windows, from the automata of their shards.
 

@@ -1,7 +1,9 @@
 """Words and lines of many texts at once, as numpy arrays over their UTF-8 bytes.
 
-A block is a few megabytes of whole texts. Words are runs of bytes outside [\\x20\\x09-\\x0D]. Hashes of words and lines
-are 64-bit polynomials over random byte values, read off prefix sums, then mixed; they do not depend on the place.
+A block is a few megabytes of whole texts, or one longer text. Words are runs of bytes outside [\\x20\\x09-\\x0D]. Words and
+lines are hashed eight bytes at a time, each step mixed with the one before, and long ones by XXH64; runs of words are
+hashed from pairs of runs half as long, mixed again at each step. No such hash is a sum, so swapped parts do not cancel.
+Byte-sized work goes through a text in windows, so that a very long text costs little more than its words.
 """
 
 from __future__ import annotations
@@ -12,28 +14,30 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: A block takes whole texts up to about so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 2 << 20
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE_VALUES = np.random.default_rng(20240917).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-SPACE = np.zeros(256, bool)
-SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-SYMBOL = np.zeros(256, bool)
-SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64; the longest table asked for so far is kept."""
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        known = np.full(max(n, BLOCK_BYTES + 2), base, np.uint64)
-        known[0] = 1
-        _powers[base] = known = np.multiply.accumulate(known)
-    return known[:n]
+#: Bytes, words or hashes that are worked on at once within a block.
+STEP = 1 << 20
+#: Longer ranges of bytes are hashed by XXH64.
+CHAINED_BYTES = 64
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_CHUNK_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
+def byte_set(members: bytes) -> np.ndarray:
+    """A table of 256 flags, set for the members."""
+    table = np.zeros(256, bool)
+    table[list(members)] = True
+    return table
+
+
+SPACE = byte_set(b" \t\n\x0b\x0c\r")
+SYMBOL = byte_set(b"#*$%&|<>")
+#: Bytes that begin a code point, and those of them outside white space.
+POINT = (np.arange(256) & 0xC0) != 0x80
+WORD_POINT = POINT & ~SPACE
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -44,21 +48,70 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of two runs side by side."""
+    return mixed(left * _ODD ^ right)
+
+
 def rolled(values: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of `width` values: len(values) - width + 1 of them."""
-    n = len(values)
-    if n < width:
+    count = len(values) - width + 1
+    if count <= 0:
         return np.zeros(0, np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(_BASE, n), out=sums[1:])
-    return mixed((sums[width:] - sums[:-width]) * powers(_BASE_INVERSE, n - width + 1))
+    found, at, level, size = None, 0, values, 1
+    while True:
+        if width & size:
+            part = level[at : at + count]
+            found, at = part if found is None else joined(found, part), at + size
+        size *= 2
+        if size > width:
+            return found
+        level = joined(level[: -(size // 2)], level[size // 2 :])
 
 
 def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each range of values."""
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(_BASE, len(values)), out=sums[1:])
-    return mixed((sums[end] - sums[start]) * powers(_BASE_INVERSE, len(values) + 1)[start] + (end - start).astype(np.uint64))
+    length = end - start
+    found, at, level, size = mixed(length.astype(np.uint64) + _ODD), start.copy(), values, 1
+    longest = int(length.max(initial=0))
+    while size <= longest:
+        some = np.flatnonzero(length & size)
+        found[some] = joined(found[some], level[at[some]])
+        at[some] += size
+        size *= 2
+        if size <= longest:
+            level = joined(level[: -(size // 2)], level[size // 2 :])
+    return found
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges. Ranges of one length up to eight bytes never collide."""
+    out = np.empty(len(start), np.uint64)
+    for at in range(0, len(start), STEP):
+        out[at : at + STEP] = _byte_hashes(data, start[at : at + STEP], end[at : at + STEP])
+    return out
+
+
+def _byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    base = int(start[0])
+    near = np.zeros(int(end.max()) - base + 8, np.uint8)
+    near[:-8] = data[base : base + len(near) - 8]
+    eight = np.ndarray((len(near) - 7,), "<u8", near, strides=(1,))  # the eight bytes from each place on
+    first, size = start - base, end - start
+    h = mixed(size.astype(np.uint64) + _ODD)
+    h = mixed(h ^ (eight[first] & _CHUNK_MASKS[np.minimum(size, 8)])) + _ODD
+    done, rest = 8, np.flatnonzero((size > 8) & (size <= CHAINED_BYTES))
+    while len(rest):
+        h[rest] = mixed(h[rest] ^ (eight[first[rest] + done] & _CHUNK_MASKS[np.minimum(size[rest] - done, 8)])) + _ODD
+        done += 8
+        rest = rest[size[rest] > done]
+    view = memoryview(near)
+    for i in np.flatnonzero(size > CHAINED_BYTES).tolist():
+        a = int(first[i])
+        h[i] = xxhash.xxh64_intdigest(view[a : a + int(size[i])])
+    return h
 
 
 @dataclass
@@ -71,60 +124,56 @@ class Block:
     def n(self) -> int:
         return len(self.rows)
 
-    def per_text(self, flags: np.ndarray) -> np.ndarray:
-        """How many bytes of each text are flagged."""
-        sums = np.zeros(len(flags) + 1, np.int64)
-        np.cumsum(flags, out=sums[1:])
-        return np.diff(sums[self.edges])
-
-    @cached_property
-    def space(self) -> np.ndarray:
-        return SPACE[self.data]
-
-    @cached_property
-    def _sums(self) -> np.ndarray:
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[self.data] * powers(_BASE, len(self.data)), out=sums[1:])
-        return sums
-
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of byte ranges."""
-        inverse = powers(_BASE_INVERSE, len(self.data) + 1)
-        return mixed((self._sums[end] - self._sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    @property
+    def kind(self) -> type:
+        """The integers that places in the data are told by."""
+        return np.int32 if len(self.data) < 1 << 31 else np.int64
+
+    def count(self, table: np.ndarray) -> np.ndarray:
+        """How many bytes of each text are in a table of 256 flags."""
+        if self.n == 1:
+            return np.array([sum(int(np.count_nonzero(table[self.data[at : at + STEP]])) for at in range(0, len(self.data), STEP))])
+        sums = np.zeros(len(self.data) + 1, self.kind)
+        np.cumsum(table[self.data], out=sums[1:])
+        return np.diff(sums[self.edges]).astype(np.int64)
 
     @cached_property
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Where words start and end."""
-        n = len(self.data)
-        border = np.zeros(n + 1, bool)
-        border[self.edges] = True
-        inside = ~self.space
-        before = np.zeros(n, bool)
-        before[1:] = inside[:-1]
-        starts = np.flatnonzero(inside & (~before | border[:-1]))
-        after = np.zeros(n, bool)
-        after[:-1] = inside[1:]
-        ends = np.flatnonzero(inside & (~after | border[1:])) + 1
-        return starts, ends
+        total = len(self.data)
+        starts, ends = [], []
+        for low in range(0, total, STEP):
+            high = min(low + STEP, total)
+            inside = np.zeros(high - low + 2, bool)  # with the byte before and the byte after
+            a, b = max(low - 1, 0), min(high + 1, total)
+            inside[a - low + 1 : b - low + 1] = ~SPACE[self.data[a:b]]
+            border = np.zeros(high - low + 1, bool)
+            border[self.edges[np.searchsorted(self.edges, low) : np.searchsorted(self.edges, high, side="right")] - low] = True
+            starts.append((np.flatnonzero(inside[1:-1] & (~inside[:-2] | border[:-1])) + low).astype(self.kind))
+            ends.append((np.flatnonzero(inside[1:-1] & (~inside[2:] | border[1:])) + low + 1).astype(self.kind))
+        none = np.zeros(0, self.kind)
+        return np.concatenate([none, *starts]), np.concatenate([none, *ends])
 
     @cached_property
     def word_edges(self) -> np.ndarray:
         """Where each text's words begin in the list of words, and the end."""
-        return np.searchsorted(self.words[0], self.edges, side="left")
+        return np.searchsorted(self.words[0], self.edges.astype(self.kind), side="left")
 
     @cached_property
     def word_text(self) -> np.ndarray:
         """The text of each word, counted in the block."""
-        return np.repeat(np.arange(self.n), np.diff(self.word_edges))
+        return np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.word_edges))
 
     @cached_property
     def word_hashes(self) -> np.ndarray:
-        return self.hashes(*self.words)
+        return byte_hashes(self.data, *self.words)
 
     @cached_property
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and text of each line; a text has one more line than line feeds."""
-        feeds = np.flatnonzero(self.data == 10)
+        feeds = np.concatenate([np.zeros(0, self.kind), *((np.flatnonzero(self.data[at : at + STEP] == 10) + at).astype(self.kind) for at in range(0, len(self.data), STEP))])
+        if self.n == 1:
+            return np.concatenate([[0], feeds + 1]).astype(self.kind), np.append(feeds, len(self.data)).astype(self.kind), np.zeros(len(feeds) + 1, np.int32)
         text = np.searchsorted(self.edges, feeds, side="right") - 1
         # a feed belongs to the last text that starts at or before it, which is never empty
         starts = np.concatenate([self.edges[:-1], feeds + 1])
@@ -134,9 +183,6 @@ class Block:
         order, back = np.lexsort((starts, of_start)), np.lexsort((ends, of_end))
         return starts[order], ends[back], of_start[order]
 
-    def bytes_of(self, i: int) -> bytes:
-        return self.data[self.edges[i] : self.edges[i + 1]].tobytes()
-
 
 def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
     """Blocks that cover all texts of a column in order; nulls are empty."""
@@ -152,17 +198,43 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
         first = last
 
 
-def distinct_per_text(text: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
-    """How many different hashes each text has."""
-    pairs = np.lexsort((hashes, text))
-    t, h = text[pairs], hashes[pairs]
-    new = np.ones(len(t), bool)
-    new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
-    return np.bincount(t[new], minlength=n)
+def windows_of(data: bytes, size: int = STEP) -> Iterator[bytes]:
+    """A text in parts of about `size` bytes that end before white space, so that no word is cut; a longer word stays whole."""
+    at = 0
+    while at < len(data):
+        end = at + size
+        while end < len(data):
+            space = np.flatnonzero(SPACE[np.frombuffer(data, np.uint8, min(STEP, len(data) - end), end)])
+            if len(space):
+                end += int(space[0])
+                break
+            end += STEP
+        yield data[at:end]
+        at = end
+
+
+def run_lengths(text: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each different (text, hash), and how often it occurs there."""
+    if n == 1:
+        h = np.sort(hashes)
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        return np.zeros(len(first), np.int64), np.diff(np.append(first, len(h)))
+    order = np.lexsort((hashes, text))
+    t, h = text[order], hashes[order]
+    first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (h[1:] != h[:-1])])) if len(t) else np.zeros(0, np.int64)
+    return t[first], np.diff(np.append(first, len(t)))
 
 
-def repeated_in_text(text: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def repeated_in_text(text: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """Flags hashes that their text holds twice or more."""
+    if n == 1:
+        h = np.sort(hashes)
+        twice = np.unique(h[1:][h[1:] == h[:-1]])
+        out = np.zeros(len(hashes), bool)
+        for at in range(0, len(hashes) if len(twice) else 0, STEP):
+            part = hashes[at : at + STEP]
+            out[at : at + STEP] = twice[np.minimum(np.searchsorted(twice, part), len(twice) - 1)] == part
+        return out
     order = np.lexsort((hashes, text))
     t, h = text[order], hashes[order]
     same = (t[1:] == t[:-1]) & (h[1:] == h[:-1])
@@ -176,8 +248,10 @@ def repeated_in_text(text: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def covered(flags: np.ndarray, width: int, total: int) -> np.ndarray:
     """Places covered by windows of `width` that start where flagged; `total` places in all."""
-    change = np.zeros(total + 1, np.int64)
-    starts = np.flatnonzero(flags)
-    np.add.at(change, starts, 1)
-    np.add.at(change, np.minimum(starts + width, total), -1)
-    return np.cumsum(change[:-1]) > 0
+    sums = np.zeros(total + 1, np.int32)
+    np.cumsum(flags[:total], out=sums[1 : len(flags[:total]) + 1])
+    sums[len(flags[:total]) + 1 :] = sums[len(flags[:total])]
+    out = sums[1:] > 0
+    if total > width:
+        out[width:] = sums[width + 1 :] > sums[1 : total - width + 1]
+    return out

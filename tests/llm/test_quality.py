@@ -88,3 +88,18 @@ def test_held_out_accuracy(spark):
     judged = quality.judge(docs, labels).filter("NOT base_failed").join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
     share = {r.quality: r.kept for r in judged}
     assert share[1] > 0.97 and share[0] < 0.2
+
+
+def thue_morse(bits):
+    """Two words of 2^bits letters whose sums of letters times powers agree modulo 2^64, whatever the base."""
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_lines_and_words_are_told_apart(spark):
+    a, b = thue_morse(10)
+    for text, repeats in ((f"{a}\n{b}", 0), (f"{a}\n{b}\n{a}", 1), (f"{a} x y z u v w t\n{b} x y z u v w t", 0)):
+        row = quality.judge(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([], LABELS)).first()
+        assert tuple(row)[1:7] == base(text) and row.n_dup_lines == repeats

@@ -103,7 +103,7 @@ def test_keep_one_of_each_group(spark):
 
 def test_unlike_texts_of_one_component_stay(spark, monkeypatch):
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "z y x w v u t s"), (4, ""), (5, " ")]
-    monkeypatch.setattr(simhash, "fingerprints", lambda docs, width, text: docs.selectExpr("doc_id", "7L AS fp"))
+    monkeypatch.setattr(simhash, "sketches", lambda docs, width, bands: docs.selectExpr("doc_id", "digest", "7L AS fp", "cast(array() AS array<long>) AS keys"))
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in got) == [1, 3, 4, 5]
     assert simhash.similarity(b"", b" ", 5) == 1.0 and simhash.similarity(b"a", b"", 5) == 0.0
@@ -156,3 +156,35 @@ def test_drifting_group_goes_to_one(spark):
         assert len({r.text for r in got}) == len(got)
         if bands:
             assert {r.doc_id for r in got} == want == {0}
+
+
+def test_unlike_texts_of_one_doc_id_stay(spark):
+    texts = {(1, "a b c d e f g h i j"), (1, "k l m n o p q r s t"), (2, "a b c d e f g h i j"), (2, "other words of the second one"), (3, None), (4, ""), (None, "a b c d e f g h i j")}
+    rows = [(i, t, "k", "n", i) for i, t in [*sorted(texts, key=str), (1, "a b c d e f g h i j")]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, digest string, __n string, __row long")
+    got = simhash.keep_one(df, bands=True)
+    assert got.columns == df.columns
+    want = [(1, "a b c d e f g h i j"), (1, "k l m n o p q r s t"), (2, "other words of the second one"), (3, None), (None, "a b c d e f g h i j")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert simhash.keep_one(df.limit(0), bands=True).collect() == []
+
+
+def test_crowded_buckets_at_radius_five(spark, monkeypatch):
+    """Fingerprints crowded into a few buckets link as by brute force, and no bucket that is compared is large."""
+    monkeypatch.setattr(simhash, "BUCKET_LIMIT", 16)
+    rng = np.random.default_rng(4)
+    centre = int(rng.integers(0, 1 << 63))
+    fps = sorted({centre ^ sum(1 << int(b) for b in set(bits)) for bits in rng.integers(0, 12, (150, 7)).tolist()} | {int(x) for x in rng.integers(0, 1 << 62, 20)})
+    found = {r.node: r.root for r in simhash.components(simhash.links(spark.createDataFrame([(simhash.signed(f),) for f in fps] + [(None,)], "fp long"), 5)).collect()}
+    want = brute_components(fps, 5)
+    groups, expect = {}, {}
+    for i, f in enumerate(fps):
+        s = simhash.signed(f)
+        groups.setdefault(found.get(s, s), set()).add(s)
+        expect.setdefault(want[i], set()).add(s)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expect.values()))
+    for kept in (0, (1 << 32) - 1, (1 << 48) - 1, (1 << 55) - 1):
+        masks = simhash.masks_beyond(kept, 5)
+        assert all((m & ~kept).bit_count() >= 1 and m & kept == kept for m in masks)
+        for bits in rng.integers(kept.bit_length(), 64, (300, 5)).tolist():
+            assert any(not m & sum(1 << b for b in set(bits)) for m in masks)

@@ -70,3 +70,28 @@ def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, text), (1, text), (2, "short")], "doc_id long, text string")
     assert sorted((r.doc_id, r.n_removed, r.kept_text) for r in sd.without_repeats(df).collect()) == [(1, 50, ""), (1, 50, ""), (2, 0, "short")]
     assert sd.without_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_words_that_sum_alike_differ(spark):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    same = [f"w{i}" for i in range(17)]
+    texts = [" ".join([*same, x, *same]) for x in (word, other)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_removed for r in sd.without_repeats(df, 35).collect()] == [0, 0]
+    assert [r.n_removed for r in sd.without_repeats(df.unionAll(df.filter("doc_id = 0")), 35).orderBy("doc_id").collect()] == [35, 35, 0]
+
+
+def test_clashing_names_and_hot_anchors(spark, monkeypatch):
+    from afterglow.llm import spread
+
+    monkeypatch.setattr(spread, "HOT_SHARE", 20)
+    monkeypatch.setattr(sd, "SHARD_SEGMENTS", 5)
+    texts = corpus(8, 10)
+    rows = [(i, t, f"a{i}", f"b{i}", f"c{i}", i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __k1 string, __gone string, __key string, anchor long")
+    got = sorted(sd.without_repeats(df, 10).collect(), key=lambda r: r.doc_id)
+    assert [(r.kept_text, r.n_words, r.n_removed) for r in got] == brute(texts, 10)
+    assert [tuple(r)[:6] for r in got] == rows
