@@ -172,14 +172,15 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
             edges = np.searchsorted(of, np.arange(block.n + 1))
             lists = lambda x, t: pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(x, t))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(stats), pa.list_(pa.float64())), lists(bucket, pa.int32()), lists(weight, pa.float32()), pa.array(chars), batch.column(2).slice(block.rows[0], block.n), batch.column(3).slice(block.rows[0], block.n)],
-                names=["stats", "bucket", "weight", "chars", "quality", "key"],
+                [pa.array(list(stats), pa.list_(pa.float64())), lists(bucket, pa.int32()), lists(weight, pa.float32()), pa.array(chars), *(batch.column(i).slice(block.rows[0], block.n) for i in (2, 3, 4))],
+                names=["stats", "bucket", "weight", "chars", "quality", "key", "order"],
             )
 
     usable = labels.filter(~held_out(F.col("doc_id")))
     sample = quality.labelled_sample(docs, usable, sample_rows, text, chars_of(docs).alias("__chars"))
-    sample = sample.select("__text", "__chars", "__quality", F.xxhash64(F.col("doc_id").cast("string"), "__text").alias("__key"))
-    found = sample.mapInArrow(run, "stats array<double>, bucket array<int>, weight array<float>, chars long, quality int, key long").toArrow()  # at most sample_rows rows
+    sample = sample.select("__text", "__chars", "__quality", F.xxhash64(F.col("doc_id").cast("string"), "__text").alias("__key"), "__order")
+    described_rows = sample.mapInArrow(run, "stats array<double>, bucket array<int>, weight array<float>, chars long, quality int, key long, order long")
+    found = described_rows.orderBy("order", "key", "quality").limit(sample_rows).drop("order").toArrow()  # features, not texts
     found = found.sort_by("key").combine_chunks()
     target = np.array([int(q == 1) for q in found["quality"].to_pylist()])
     if len(set(target.tolist())) < 2:

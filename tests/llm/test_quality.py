@@ -48,12 +48,50 @@ def test_forest_isolates_what_is_rare():
     rng = np.random.default_rng(3)
     rows = np.concatenate([rng.normal(0, 1, (960, 3)), rng.normal(9, 0.1, (40, 3))])
     good = np.arange(1000) < 960
-    forest = quality.IsolationForest.fit(rows, good)
+    forest = quality.IsolationForest.fit(rows)
     forest.calibrate(rows, good)
     rejected = forest.score(rows) > forest.threshold
     assert rejected[~good].mean() > 0.95 and rejected[good].mean() < 0.01
-    plain = quality.IsolationForest.fit(rows)
-    assert plain.score(rows[~good]).mean() > plain.score(rows[good]).mean()
+    assert forest.score(rows[~good]).mean() > forest.score(rows[good]).mean()
+
+
+def test_path_lengths_and_scores():
+    """Scores against trees walked row by row; at the leaves, path lengths against counts of the tree's own rows."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(300, 3)).round(1)
+    forest = quality.IsolationForest.fit(rows, trees=7, sample=64, seed=1)
+
+    def harmonic(n):
+        return 2 * sum(1 / i for i in range(1, n)) - 2 * (n - 1) / n if n > 1 else 0.0
+
+    for n in (1, 2, 3, 10, 500):
+        assert float(quality.IsolationForest.rest(n)) == pytest.approx(harmonic(n), abs=1e-3)
+
+    def walked(tree, row):
+        node = 0
+        while forest.feature[tree, node] >= 0:
+            node = 2 * node + 1 + int(row[forest.feature[tree, node]] >= forest.cut[tree, node])
+        return node
+
+    want = [2 ** (-np.mean([forest.length[t, walked(t, r)] for t in range(7)]) / harmonic(64)) for r in rows]
+    assert forest.score(rows) == pytest.approx(want, rel=0.02)
+    # with samples of all rows, each leaf's length is its level and the expected rest for the rows that end there
+    forest = quality.IsolationForest.fit(rows[:40], trees=5, sample=40, seed=2)
+    for t in range(5):
+        ends = Counter(walked(t, r) for r in rows[:40])
+        for node, count in ends.items():
+            assert forest.length[t, node] == pytest.approx(int(np.log2(node + 1)) + float(quality.IsolationForest.rest(count)))
+
+
+def test_threshold_by_brute_force():
+    rng = np.random.default_rng(6)
+    rows, good = rng.normal(size=(200, 2)), rng.random(200) < 0.8
+    rows[~good] += 3
+    forest = quality.IsolationForest.fit(rows, trees=20, sample=100)
+    forest.calibrate(rows, good)
+    score = forest.score(rows)
+    gain = lambda cut: (score[~good] > cut).mean() - 10 * (score[good] > cut).mean()
+    assert gain(forest.threshold) == pytest.approx(max(gain(c) for c in [*score.tolist(), 1.0]))
 
 
 def test_pairs_in_linear_time():
