@@ -13,6 +13,7 @@ pre-tokens (a run of space marks and what follows it) that are encoded alone, on
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -25,7 +26,9 @@ NORMAL, BYTE = 1, 6
 PRE_TOKEN = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n+|[^{SPACE}\n]+")
 #: Pre-tokens that a worker keeps; beyond it the cache starts anew, so that memory stays bounded.
 CACHE_ENTRIES = 500_000
-#: Longer pre-tokens are not kept.
+#: Pairs of tokens that a worker keeps the answer for, some 200 bytes each.
+FIT_ENTRIES = 1_000_000
+#: Longer pre-tokens are not kept, so that entries have a bound in bytes as well.
 CACHED_CHARS = 200
 
 
@@ -34,6 +37,26 @@ def marked(text: str) -> str:
     return (SPACE + text).replace(" ", SPACE) if text else ""
 
 
+#: Bytes of a text that are cut into pre-tokens at once.
+PART_BYTES = 1 << 20
+#: Where a text may be cut: before a run of spaces (or their marks) or of line feeds, both of which begin a pre-token.
+_CUT = re.compile(rb"[^ ](?<!\xe2\x96\x81)(?= )|[^\n](?=\n)")
+
+
+def pre_token_parts(data: bytes, size: int = PART_BYTES) -> Iterator[list[str]]:
+    """The pre-tokens of a text in UTF-8, in lists of those of about `size` bytes; a longer pre-token stays whole.
+
+    Bytes that are no UTF-8 become U+FFFD.
+    """
+    at = 0
+    while at < len(data):
+        found = _CUT.search(data, at + size) if at + size < len(data) else None
+        end = found.end() if found else len(data)
+        part = data[at:end].decode("utf-8", "replace")
+        yield PRE_TOKEN.findall(marked(part) if at == 0 else part.replace(" ", SPACE))
+        at = end
+
+
 class PieceModel:
     """A SentencePiece BPE model with byte fallback and the identity normaliser."""
 
@@ -117,7 +140,7 @@ class PieceModel:
                 until_a, a = rank_a, self.halves[a][1]
             else:
                 until_b, b = rank_b, self.halves[b][0]
-        if len(self._fits) < 4_000_000:
+        if len(self._fits) < FIT_ENTRIES:
             self._fits[left, right] = result
         return result
 

@@ -52,11 +52,32 @@ def test_encode_documents(spark, library):
         assert digest.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
-def test_count_tokens(spark, library):
-    rows = sentencepiece_ops.count_tokens(frame(spark), MODEL, limit=100).collect()
-    for text, row in zip(TEXTS, rows, strict=True):
+@pytest.mark.parametrize("head", [400_000, 3, 0])
+def test_count_tokens(spark, library, head):
+    texts = [*TEXTS, "x" * 700 + " " + "long" * 90 + "\n" * 300]
+    rows = sentencepiece_ops.count_tokens(frame(spark, texts), MODEL, limit=100, head_entries=head).collect()
+    want = []
+    for i, text in enumerate(texts):
         n = len(library.encode(text or ""))
-        assert (row.n_tokens, row.n_bytes, row.over_limit) == (n, len((text or "").encode()), n > 100)
+        want.append((i if i != 3 else None, len((text or "").encode()), n, n > 100))
+    assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
+
+
+def test_pre_token_table_counts_each_once(spark, library):
+    table = {r.chunk: (r.n, r.pieces) for r in sentencepiece_ops.pre_token_table(frame(spark, ["to be or not to be", "be\nbe", None]), MODEL).collect()}
+    assert {c: n for c, (n, _) in table.items()} == {"▁to": 2, "▁be": 3, "▁or": 1, "▁not": 1, "\n": 1, "be": 1}
+    assert sentencepiece_ops.most_frequent(spark.createDataFrame([("a", 9, 1), ("b", 4, 2), ("c", 5, 3), ("d", 1, 4)], "chunk string, n long, pieces long"), 3) == {"a": 1, "b": 2, "c": 3}
+
+
+def test_long_texts_in_parts(library):
+    rng = random.Random(6)
+    model = piece_bpe.piece_model(MODEL)
+    for _ in range(400):
+        text = "".join(rng.choice(["word", " ", "  ", "\n", "\n\n", "é東", "▁", "a"]) for _ in range(rng.randint(0, 40)))
+        for size in (1, 5, 17):
+            parts = list(piece_bpe.pre_token_parts(text.encode(), size))
+            assert [c for p in parts for c in p] == piece_bpe.PRE_TOKEN.findall(piece_bpe.marked(text)), (text, size)
+            assert [i for p in parts for c in p for i in model.encode_pre_token(c)] == library.encode(text)
 
 
 @pytest.mark.parametrize("operator", [sentencepiece_ops.count_tokens, sentencepiece_ops.encode_documents])
