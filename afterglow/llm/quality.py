@@ -15,9 +15,10 @@ from afterglow.session import ship_package
 
 #: Labelled rows, at most, that the forest is fitted and calibrated on.
 SAMPLE_ROWS = 20_000
-#: Trees, and rows that each is grown on. On the held-out fifth of the generated tables smaller samples let junk that is
-#: frequent and alike pass: 2 to 8 percent of bad rows with 1,024 rows, none with 2,048.
+#: Trees, and rows that each is grown on.
 TREES, TREE_SAMPLE = 100, 2_048
+#: Rows labelled bad, as a share of a tree's other rows.
+RARE_SHARE = 0.04
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: What the forest splits on. Plain length is no part of it: the base rules judge that.
 RATIOS = ("symbol_share", "dup_line_share", "repeat_word_share", "word_length", "upper_share", "mark_share", "same_next_share", "top_word_share")
@@ -73,6 +74,18 @@ def statistics(block: tb.Block) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return base, ratios
 
 
+def telling(rows: np.ndarray, common: np.ndarray | None) -> np.ndarray:
+    """For each statistic, how far its ranks alone part common rows from others, 0.02 at least; the same for all if none are others."""
+    if common is None or common.all() or not common.any():
+        return np.ones(rows.shape[1])
+    out = []
+    for column in rows.T:
+        values = np.sort(column)
+        rank = (np.searchsorted(values, column, "left") + np.searchsorted(values, column, "right")) / 2
+        out.append(abs(2 * ((rank[~common].mean() - rank[common].mean()) / len(rows) + 0.5) - 1) + 0.02)
+    return np.array(out)
+
+
 @dataclass
 class IsolationForest:
     """Trees of random cuts; few cuts isolate an anomalous row."""
@@ -92,17 +105,25 @@ class IsolationForest:
         return np.where(n > 2, 2 * harmonic - 2 * m / (m + 1), np.where(n == 2, 1.0, 0.0))
 
     @classmethod
-    def fit(cls, rows: np.ndarray, trees: int = TREES, sample: int = TREE_SAMPLE, seed: int = 7) -> IsolationForest:
-        """Trees over samples of the rows, cut at random: any statistic that still differs, anywhere between its least and most.
+    def fit(cls, rows: np.ndarray, common: np.ndarray | None = None, trees: int = TREES, sample: int = TREE_SAMPLE, seed: int = 7) -> IsolationForest:
+        """Trees over samples of the rows: each cut takes a random statistic that still differs, anywhere between its least and most.
 
-        A tree sees half of the rows at most, unless these are few: among all of them, rows that are alike hide each other."""
+        Rows that are not `common` (all are, if it is None) are thinned to RARE_SHARE of each sample, as what is many and alike
+        is not isolated by few cuts, and statistics are drawn by how well each alone tells common rows from others. A tree sees
+        half of the common rows at most, unless these are few: among all of them, rows that are alike hide each other."""
         rng = np.random.default_rng(seed)
-        sample = min(sample, max(len(rows) // 2, min(len(rows), 256)))
+        odds = telling(rows, common)
+        usual = np.arange(len(rows)) if common is None or not common.any() else np.flatnonzero(common)
+        rare = np.setdiff1d(np.arange(len(rows)), usual)
+        usual_size = min(sample, max(len(usual) // 2, min(len(usual), 256)))
+        rare_size = min(len(rare), max(1, round(RARE_SHARE * usual_size))) if len(rare) else 0
+        sample = usual_size + rare_size
         depth = max(1, int(np.ceil(np.log2(max(sample, 2)))))
         nodes = 2 ** (depth + 1) - 1
         feature, cut, length = np.full((trees, nodes), -1), np.zeros((trees, nodes)), np.zeros((trees, nodes))
         for t in range(trees):
-            todo = [(0, 0, rows[rng.choice(len(rows), sample, replace=False)])]
+            drawn = [rng.choice(usual, usual_size, replace=False), rng.choice(rare, rare_size, replace=False)]
+            todo = [(0, 0, rows[np.concatenate(drawn).astype(int)])]
             while todo:
                 node, level, here = todo.pop()
                 low, high = (here.min(0), here.max(0)) if len(here) else (np.zeros(0), np.zeros(0))
@@ -110,7 +131,7 @@ class IsolationForest:
                 if level == depth or len(here) < 2 or not len(wide):
                     length[t, node] = level + cls.rest(len(here))
                     continue
-                f = rng.choice(wide)
+                f = rng.choice(wide, p=odds[wide] / odds[wide].sum())
                 feature[t, node], cut[t, node] = f, rng.uniform(low[f], high[f])
                 left = here[:, f] < cut[t, node]
                 todo += [(2 * node + 1, level + 1, here[left]), (2 * node + 2, level + 1, here[~left])]
@@ -164,7 +185,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, text: str, *e
 def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = TREES, tree_sample: int = TREE_SAMPLE, text: str = "text") -> IsolationForest | None:
     """The forest of the rule statistics of at most `sample_rows` labelled documents; None without any.
 
-    The labels do not shape the trees; they calibrate the threshold.
+    Labels thin bad rows in the trees' samples, weigh the draw of statistics, and calibrate the threshold.
     """
     ship_package(docs.sparkSession)
 
@@ -180,7 +201,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     if not found:
         return None
     rows, good = np.array([r["ratios"] for r in found]), np.array([r["quality"] == 1 for r in found])
-    forest = IsolationForest.fit(rows, trees, tree_sample)
+    forest = IsolationForest.fit(rows, good, trees, tree_sample)
     forest.calibrate(rows, good)
     return forest
 
