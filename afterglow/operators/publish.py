@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,18 @@ def publish_days(spark: SparkSession, days: DataFrame, path: str, states: DataFr
 
 
 def republish(spark: SparkSession, days: DataFrame, path: str, value: str = "views") -> DataFrame:
-    """Publish, then give the days that changed against a summary taken before; other days must not be among them."""
-    stored = spark.read.parquet(path)
-    before = day_summary(stored.select(days.columns), "dt", value, *sorted(days.columns))
-    before = spark.createDataFrame(before.collect(), before.schema)  # one row a day, taken before the write
+    """Publish, then give the days that changed against a summary taken before; other days must not be among them.
+
+    Only the months of the days at hand are summed, so the work does not grow with the lake.
+    """
+    months = [r["m"] for r in days.select(F.trunc("dt", "month").alias("m")).distinct().collect()]  # one row a month at hand
+    near = reduce(lambda a, b: a | b, [F.col("dt").between(F.lit(m), F.last_day(F.lit(m))) for m in months], F.lit(False))
+    summed = lambda: day_summary(spark.read.parquet(path).filter(near).select(days.columns), "dt", value, *sorted(days.columns))
+    before = summed()
+    before = spark.createDataFrame(before.collect(), before.schema)  # one row a day of those months, taken before the write
     publish_days(spark, days, path)
     spark.catalog.refreshByPath(path)
-    after = day_summary(spark.read.parquet(path).select(days.columns), "dt", value, *sorted(days.columns))
-    changed = differences(before, after, ["dt"])
+    changed = differences(before, summed(), ["dt"])
     others = changed.join(days.select("dt").distinct(), "dt", "left_anti").limit(1).collect()
     if others:
         raise ValueError(f"day {others[0]['dt']} changed and was not published")
@@ -38,7 +44,7 @@ def retirable(staging: DataFrame, states: DataFrame) -> DataFrame:
     return staging.join(states.filter(F.col("published")), "dt", "left_semi").select("dt", "key")
 
 
-def missing_months(source: DataFrame, stored: DataFrame, day: str = "dt") -> DataFrame:
+def missing_months(source: DataFrame, stored: DataFrame, day: str = "dt", stored_day: str | None = None) -> DataFrame:
     """(month_start, month_end) of the months of the source that the lake has no day of."""
-    months = lambda df: df.select(F.trunc(day, "month").alias("month_start")).distinct()
-    return months(source).join(months(stored), "month_start", "left_anti").withColumn("month_end", F.last_day("month_start"))
+    months = lambda df, of: df.select(F.trunc(of, "month").alias("month_start")).distinct()
+    return months(source, day).join(months(stored, stored_day or day), "month_start", "left_anti").withColumn("month_end", F.last_day("month_start"))

@@ -29,8 +29,9 @@ def compact(partials: DataFrame) -> DataFrame:
 
 
 def compact_incrementally(parts: Iterable[DataFrame]) -> DataFrame:
-    """The same by folding one part after the other into a running total."""
-    return reduce(lambda total, part: compact(total.unionByName(part)), parts)
+    """The same from parts that come one after the other, each summed already or not: one union and one aggregation, as sums
+    of sums are sums, so the growing total is not shuffled once a part."""
+    return compact(reduce(DataFrame.unionByName, parts))
 
 
 def apply_floor(days: DataFrame, floor: int) -> DataFrame:

@@ -29,12 +29,13 @@ def documents(facts: DataFrame, config: SpikeConfig) -> DataFrame:
 
 
 def store(facts: DataFrame, hours: DataFrame, path: str, config: SpikeConfig) -> None:
-    """Write documents and items; items lie by the first character of their search key, so a search reads one folder.
+    """Write documents and items; items lie by the first character of their search key, so a search reads one folder, whose
+    files are ranges of keys, as one character may begin many titles.
 
     A whole overwrite converges: items of spikes that are gone go with it.
     """
     items = serving.index_items(serving.curves(facts, hours, config))
-    items.repartition("bucket").sortWithinPartitions("search_key").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/items")
+    items.repartitionByRange("bucket", "search_key").sortWithinPartitions("bucket", "search_key").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/items")
     documents(facts, config).coalesce(1).write.mode("overwrite").parquet(f"{path}/documents")
 
 

@@ -80,7 +80,7 @@ BOARD = "SELECT spike_id, page_title, spike_start, attention_half_life_hours, ro
 BIG = f"coalesce(peak_day_excess >= {EVENTS.leaderboard_min_peak_day_excess} AND NOT burst AND NOT calendar_page, FALSE)"
 EDGES = [1, 2, 3, 5, 10, 100]
 STRATUM = "CASE " + " ".join(f"WHEN views >= {a} AND views < {b} THEN {i}" for i, (a, b) in enumerate(zip(EDGES, EDGES[1:], strict=False))) + " END"
-MANIFEST_HOURS = "SELECT strftime(o_orderdate::DATE + INTERVAL 1 HOUR * ((o_orderkey % 24) + 1), '%Y-%m-%dT%H') AS hour, o_orderdate::DATE AS dt, o_orderkey % 24 AS h, min(o_orderkey) AS k FROM orders WHERE o_orderdate::DATE < DATE '1996-01-01' GROUP BY ALL"
+MANIFEST_HOURS = "SELECT strftime(o_orderdate::DATE + INTERVAL 1 HOUR * ((o_orderkey % 24) + 1), '%Y-%m-%dT%H') AS hour, o_orderdate::DATE AS dt, o_orderkey % 24 AS h, min(o_orderkey) AS k FROM orders GROUP BY ALL"
 HOUR_STATUS = "CASE k % 5 WHEN 0 THEN 'done' WHEN 1 THEN 'done' WHEN 2 THEN 'failed' WHEN 3 THEN 'in-flight' ELSE 'done' END"
 DAY_STATUS = "CASE day(dt) % 7 WHEN 0 THEN 'compacted' WHEN 1 THEN 'compacting' WHEN 2 THEN 'invalidated' WHEN 3 THEN 'failed' END"
 
@@ -129,8 +129,8 @@ SQL: dict[str, str] = {
     "curve_array_string": events("SELECT spike_id, array_to_string(curve, ',') AS curve FROM items", ITEMS),
     "prefix_search": events("SELECT spike_id, page_title, spike_start, attention_half_life_hours, peak_day_views FROM items WHERE starts_with(lower(replace(page_title, ' ', '_')), 'user_1') ORDER BY lower(replace(page_title, ' ', '_')) || '#' || spike_start, spike_id LIMIT 20", ITEMS),
     "spike_lookup_excess": events("SELECT spike_id, curve AS views, list_transform(curve, lambda v: greatest(round_even(v - baseline_hourly, 0), 0)::BIGINT) AS excess FROM items", ITEMS),
-    "reconcile_full_outer": "WITH a AS (SELECT o_orderdate::DATE AS dt, count(*) AS n FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1), b AS (SELECT o_orderdate::DATE AS dt, count(*) AS n FROM orders WHERE o_orderkey % 5 <> 0 GROUP BY 1) SELECT dt, a.n AS old_n, b.n AS new_n, CASE WHEN b.n IS NULL THEN 'missing' WHEN a.n IS NULL THEN 'unexpected' ELSE 'different' END AS status FROM a FULL JOIN b USING (dt) WHERE a.n IS DISTINCT FROM b.n",
-    "multiset_diff": "WITH a AS (SELECT o_custkey AS k FROM orders WHERE o_orderkey % 3 = 0), b AS (SELECT o_custkey AS k FROM orders WHERE o_orderkey % 3 = 1) (SELECT k, 'left' AS side FROM (SELECT k FROM a EXCEPT ALL SELECT k FROM b)) UNION ALL (SELECT k, 'right' FROM (SELECT k FROM b EXCEPT ALL SELECT k FROM a))",
+    "reconcile_full_outer": "WITH a AS (SELECT o_orderdate::DATE AS dt, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT o_orderdate::DATE + CASE WHEN o_orderkey % 50 = 0 THEN 5000 WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS dt, count(*) AS n FROM orders GROUP BY 1) SELECT dt, a.n AS old_n, b.n AS new_n, CASE WHEN b.n IS NULL THEN 'missing' WHEN a.n IS NULL THEN 'unexpected' ELSE 'different' END AS status FROM a FULL JOIN b USING (dt) WHERE a.n IS DISTINCT FROM b.n",
+    "multiset_diff": "WITH a AS (SELECT o_custkey AS k FROM orders), b AS (SELECT o_custkey + CASE WHEN o_orderkey % 10 = 3 THEN 1 ELSE 0 END AS k FROM orders) (SELECT k, 'left' AS side FROM (SELECT k FROM a EXCEPT ALL SELECT k FROM b)) UNION ALL (SELECT k, 'right' FROM (SELECT k FROM b EXCEPT ALL SELECT k FROM a))",
     "grain_violations": "SELECT l_orderkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "range_violations": "SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount > 0.09",
     "spine_completeness": events("SELECT w.spike_id, (epoch(w.w_end) - epoch(w.w_start))::BIGINT // 3600 + 1 AS expected, count(h.hour_start) AS actual FROM windows w LEFT JOIN (SELECT * FROM hours WHERE hour(hour_start) <> 13 OR day(hour_start) % 3 <> 0) h USING (spike_id) GROUP BY ALL HAVING count(h.hour_start) <> (epoch(w.w_end) - epoch(w.w_start))::BIGINT // 3600 + 1"),
@@ -164,7 +164,7 @@ SQL: dict[str, str] = {
     "published_hours": events("SELECT hour, stored_rows, stored_rows + 1 AS recorded_rows FROM (SELECT strftime(hour_start + INTERVAL 1 HOUR, '%Y-%m-%dT%H') AS hour, count(*) AS stored_rows FROM raw_hourly GROUP BY 1) WHERE right(hour, 1) = '7'"),
     "upper_median_and_median": "SELECT l_returnflag, median(l_quantity)::DOUBLE AS median, list_sort(list(l_quantity))[count(*) // 2 + 1]::DOUBLE AS upper_median FROM lineitem GROUP BY 1",
     "search_index_buckets": events("SELECT left(lower(replace(page_title, ' ', '_')), 1) AS bucket, count(*) AS n, min(lower(replace(page_title, ' ', '_')) || '#' || spike_start) AS first_key FROM items GROUP BY 1", ITEMS),
-    "stale_keys": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "stale_keys": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey + CASE WHEN o_custkey % 9 = 4 THEN 1 ELSE 0 END FROM orders)",
     "rest_mismatches": events("SELECT d.page_title, d.dt, d.views + (d.views % 3 = 0)::BIGINT AS expected, CASE WHEN day(d.dt) <> 20 THEN d.views END AS stored FROM raw_daily d WHERE day(d.dt) = 20 OR d.views % 3 = 0"),
     "day_rollup": events("SELECT hour_start::DATE AS dt, sum(views)::BIGINT AS hours_views, sum(views)::BIGINT + 1 AS day_views FROM raw_hourly WHERE day(hour_start) % 3 = 0 GROUP BY 1"),
     "missing_hours": events(f"SELECT h AS hour_start FROM generate_series(TIMESTAMP '{_c.window_start}', TIMESTAMP '{_c.data_end_hour}', INTERVAL 1 HOUR) g(h) WHERE h NOT IN (SELECT hour_start FROM raw_hourly WHERE hour(hour_start) % 6 <> 5)"),

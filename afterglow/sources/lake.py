@@ -29,19 +29,23 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def load_months(spark: SparkSession, rows: DataFrame, path: str, sort: tuple[str, ...] = ("page_title",)) -> list:
-    """Write the months that the lake has no day of, one commit a month, and give their first days.
+    """Write the months that are not recorded as loaded, one after the other, and give their first days.
 
-    A load that broke off goes on where it stopped; a month that is there is not read again.
+    A month is recorded in a journal beside the table, after its days are all there; a load that broke off within a month writes
+    that month again, whole, and a recorded one is not read again.
     """
+    journal = f"{path.rstrip('/')}_months"
     try:
-        stored = spark.read.parquet(path).select("dt")
-    except Exception as missing:  # nothing is there yet
-        if "PATH_NOT_FOUND" not in str(missing) and "UNABLE_TO_INFER_SCHEMA" not in str(missing):
+        done = spark.read.schema("month_start date").json(journal)
+        done.limit(0).collect()
+    except Exception as missing:  # nothing is recorded yet
+        if "PATH_NOT_FOUND" not in str(missing):
             raise
-        stored = rows.select("dt").limit(0)
-    months = sorted((r["month_start"], r["month_end"]) for r in missing_months(rows, stored).collect())  # one row a month
+        done = spark.createDataFrame([], "month_start date")
+    months = sorted((r["month_start"], r["month_end"]) for r in missing_months(rows, done, stored_day="month_start").collect())  # one row a month
     for first, last in months:
         write_days(rows.filter(F.col("dt").between(F.lit(first), F.lit(last))), path, sort)
+        append_journal(spark.createDataFrame([(first,)], "month_start date"), journal)
     return [first for first, _ in months]
 
 

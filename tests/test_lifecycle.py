@@ -249,6 +249,36 @@ def test_runner_brings_a_day_to_its_end(spark):
     assert held.runner().run_day(DAY).outcome == "compaction-failed"
 
 
+def test_runner_takes_many_days_at_once(spark):
+    fake = Fake(spark, **{"2025_03_01T05": ("failed", 1, None)})
+    other = date(2025, 3, 2)  # a day without any record
+    fake.works = False
+    plans = []
+    runs = fake.runner()
+    runs.ingest = lambda plan: plans.append(plan.dt)
+    reports = runs.run_days([DAY, other])
+    assert {d: r.outcome for d, r in reports.items()} == {DAY: "stalled", other: "stalled"} and plans == [DAY, other] * runner.MAX_PASSES
+    assert fake.slept == [30] + [120] * 7 and reports[other].retries == 0
+    left = runs.final_pass([DAY, other])
+    assert "2025-03-01T05: failed at attempt 1" in left[DAY] and left[other].count("never begun") == 24
+
+
+def test_months_broken_off_are_loaded_again(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    rows = spark.createDataFrame([("A", 1, date(2025, m, d)) for m in (1, 2) for d in (1, 2, 3)], "page_title string, views long, dt date")
+    tiers.write_days(rows.filter("dt = date'2025-01-02'"), path)  # what a load left that died within January
+    assert lake.load_months(spark, rows, path) == [date(2025, 1, 1), date(2025, 2, 1)]
+    assert spark.read.parquet(path).count() == 6 and lake.load_months(spark, rows, path) == []
+
+
+def test_curves_outside_the_format_are_refused(spark):
+    for bad in ([-1], [1 << 32]):
+        with pytest.raises(Exception, match="outside"):
+            spark.createDataFrame([(bad,)], "c array<long>").select(encode_curve("c")).collect()
+    rows = spark.createDataFrame([([0, (1 << 32) - 1],), ([],), (None,)], "c array<long>").select(decode_curve(encode_curve("c")).alias("c")).collect()
+    assert [r.c for r in rows] == [[0, (1 << 32) - 1], [], None]
+
+
 def test_footers_sizes_and_observed_counts(spark, tmp_path):
     ship_package(spark)
     rows = spark.range(20_000).select((F.hash("id") % 500).alias("t"), "id")
