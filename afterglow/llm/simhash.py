@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,9 +20,13 @@ SEED = 42
 #: A bucket with more different members than this is covered again on the bits they may differ in.
 BUCKET_LIMIT = 256
 #: Bands of a text's sketch and smallest hashes in each; texts a document is compared with in each bucket of a band.
-BANDS, BAND_ROWS, NEIGHBOURS = 20, 5, 32
+BANDS, BAND_ROWS, NEIGHBOURS = 20, 5, 256
 _draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
 OFFSETS, FACTORS = _draws[0] << np.uint64(1), _draws[1] << np.uint64(1) | np.uint64(1)
+#: Smallest hashes by which texts of one bucket are compared before their words are.
+WIDE = 1024
+_draws = np.random.default_rng(SEED + 1).integers(0, 1 << 63, (2, WIDE), np.uint64)
+WIDE_OFFSETS, WIDE_FACTORS = _draws[0] << np.uint64(1), _draws[1] << np.uint64(1) | np.uint64(1)
 
 
 def shingle_parts(text: bytes, width: int) -> Iterator[np.ndarray]:
@@ -250,40 +254,47 @@ def similarity(a: bytes, b: bytes, width: int) -> float:
     return both / (len(one) + len(two) - both) if len(one) + len(two) else 1.0
 
 
-def sketch(parts: Iterable[np.ndarray]) -> tuple[np.ndarray, bytes]:
-    """A key for each band of BAND_ROWS smallest hashes, and the last byte of each smallest hash; none for a text without shingles.
+def band_keys(parts: Iterable[np.ndarray]) -> np.ndarray:
+    """A key for each band of BAND_ROWS smallest hashes; none for a text without shingles.
 
     Two texts of Jaccard similarity s share the key of a band with probability s ** BAND_ROWS: at 0.8 at least one key
-    of 20 in 99.96 % of pairs. Their smallest hashes agree with probability s each.
+    of 20 in 99.96 % of pairs.
     """
     least, some = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64), False
     for hashes in parts:
         some = some or len(hashes) > 0
         for at in range(0, len(hashes), 1 << 12):
             least = np.minimum(least, ((hashes[None, at : at + (1 << 12)] ^ OFFSETS[:, None]) * FACTORS[:, None]).min(1))
-    if not some:
-        return np.zeros(0, np.uint64), b""
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, -1))], np.uint64), least.astype(np.uint8).tobytes()
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, -1))] if some else [], np.uint64)
+
+
+def wide_sketch(parts: Iterable[np.ndarray]) -> bytes:
+    """The last byte of each of WIDE smallest hashes; none for a text without shingles. Two texts agree in each with the probability
+    of their similarity, so their share of agreement is off by at most 1/64 in two of three cases."""
+    least, some = np.full(WIDE, np.iinfo(np.uint64).max, np.uint64), False
+    for hashes in parts:
+        some = some or len(hashes) > 0
+        for at in range(0, len(hashes), 1 << 8):
+            least = np.minimum(least, ((hashes[None, at : at + (1 << 8)] ^ WIDE_OFFSETS[:, None]) * WIDE_FACTORS[:, None]).min(1))
+    return least.astype(np.uint8).tobytes() if some else b""
 
 
 def sketches(docs: DataFrame, width: int, bands: bool) -> DataFrame:
-    """(doc_id, digest, fp, keys, least) of documents with doc_id, digest and __text: their fingerprint and, with `bands`, their sketch."""
+    """(doc_id, digest, fp, keys) of documents with doc_id, digest and __text: their fingerprint and, with `bands`, keys of bands."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, keys, least = [], [], []
+            fps, keys = [], []
             for t in raw_texts(batch.column(2)):
                 # a long text is hashed twice rather than held
                 hashes = [shingle_hashes(t, width)] if len(t) <= 16 * tb.STEP else None
                 fps.append(signed(majority(hashes or shingle_parts(t, width))))
-                bands_of, last = sketch(hashes or shingle_parts(t, width)) if bands else (np.zeros(0, np.uint64), b"")
-                keys.append(bands_of.view(np.int64))
-                least.append(last)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(least, pa.binary())], names=["doc_id", "digest", "fp", "keys", "least"])
+                keys.append(band_keys(hashes or shingle_parts(t, width)).view(np.int64) if bands else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "fp", "keys"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "digest", "__text").mapInArrow(run, f"doc_id {id_type}, digest binary, fp long, keys array<long>, least binary")
+    return docs.select("doc_id", "digest", "__text").mapInArrow(run, f"doc_id {id_type}, digest binary, fp long, keys array<long>")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, width: int, least_similarity: float) -> DataFrame:
@@ -307,23 +318,33 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 
 def agreeing(least_similarity: float) -> int:
-    """Smallest hashes that agree in all but about 1 of 300,000 pairs of texts of that similarity: the mean less 4.5 deviations."""
-    return int(100 * least_similarity - 45 * (least_similarity * (1 - least_similarity)) ** 0.5)
+    """Of WIDE smallest hashes, how many agree in all but about 1 of 300,000 pairs of texts of that similarity: the mean less 4.5 deviations."""
+    return int(WIDE * least_similarity - 4.5 * (WIDE * least_similarity * (1 - least_similarity)) ** 0.5)
 
 
-def apart_in_buckets(met: DataFrame, group: DataFrame, own: DataFrame, least_similarity: float) -> DataFrame:
+def apart_in_buckets(met: DataFrame, group: DataFrame, texts_of: Callable[[DataFrame], DataFrame], width: int, least_similarity: float) -> DataFrame:
     """Pairs (a, b) of nodes of one bucket of a band that are not in one group yet and whose smallest hashes agree as often as
-    such texts' do; met: (id, k, next), own: (id, least).
+    such texts' do; met: (id, k, next), texts_of(ids): (__id, __text) of nodes (id).
 
-    A bucket is streamed in the order of its members' next bands, each compared with the NEIGHBOURS before it, where buckets of
-    up to that many and one are compared in full. Pairs that do not agree leave no row.
+    Only the texts of buckets that hold several groups are sketched anew, by WIDE smallest hashes. A bucket is streamed in the order of
+    its members' next bands, each compared with the NEIGHBOURS before it, where buckets of up to that many and one are compared
+    in full. Pairs that do not agree leave no row.
     """
     root = group.select(F.col("node").alias("id"), "root")
     known = met.join(root, "id", "left").select("id", "k", "next", F.xxhash64(F.coalesce("root", "id")).alias("root"))
     split = known.groupBy("k").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one <> other").select("k")
+    members = materialise(known.join(split, "k", "left_semi"))
     n = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = known.join(split, "k", "left_semi").join(own.select("id", "least"), "id").repartition(n, "k").sortWithinPartitions("k", "next", "id")
     enough = agreeing(least_similarity)
+    id_type = met.schema["id"].dataType.simpleString()
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = [wide_sketch(shingle_parts(t, width)) for t in raw_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.binary())], names=["id", "least"])
+
+    wide = texts_of(members.select("id").distinct()).select("__id", "__text").mapInArrow(widen, f"id {id_type}, least binary")
+    dealt = members.join(wide, "id").repartition(n, "k").sortWithinPartitions("k", "next", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -344,7 +365,6 @@ def apart_in_buckets(met: DataFrame, group: DataFrame, own: DataFrame, least_sim
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))], names=["a", "b"])
             held = [c.slice(max(len(c) - NEIGHBOURS, 0)) for c in now]
 
-    id_type = met.schema["id"].dataType.simpleString()
     return ordered(dealt.select("id", "k", "root", "least").mapInArrow(run, f"a {id_type}, b {id_type}"))
 
 
@@ -364,9 +384,9 @@ def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity:
     """
     digest = F.substring(F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)), 1, 16)
     rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", digest.alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("__text"), F.struct("*").alias("__row"))
-    sketched = materialise(sketches(rows, width, bands).groupBy("doc_id", "digest").agg(*(F.first(c).alias(c) for c in ("fp", "keys", "least"))))
+    sketched = materialise(sketches(rows, width, bands).groupBy("doc_id", "digest").agg(*(F.first(c).alias(c) for c in ("fp", "keys"))))
     # a node for each different text: the smallest doc_id that has it, and its digest
-    own = materialise(sketched.groupBy("digest").agg(F.min("doc_id").alias("d"), *(F.first(c).alias(c) for c in ("fp", "keys", "least"))).select(F.struct("d", "digest").alias("id"), "fp", "keys", "least"))
+    own = materialise(sketched.groupBy("digest").agg(F.min("doc_id").alias("d"), *(F.first(c).alias(c) for c in ("fp", "keys"))).select(F.struct("d", "digest").alias("id"), "fp", "keys"))
 
     # texts by their fingerprints: each with the first of its own, and the first of linked ones
     heads = materialise(own.groupBy("fp").agg(F.min("id").alias("first")))
@@ -378,14 +398,18 @@ def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity:
     buckets = keyed.groupBy("k").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = materialise(keyed.join(buckets, "k").select("id", "k", "next", "head"))
 
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        asked = nodes.select(F.col("id.d").alias("doc_id"), F.col("id.digest").alias("digest"))
+        found = rows.select("doc_id", "digest", "__text").join(asked, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
+        return found.select(F.struct(F.col("doc_id").alias("d"), "digest").alias("__id"), "__text")
+
     def alike(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select("a").unionAll(pairs.select(F.col("b").alias("a"))).distinct().select(F.col("a.d").alias("doc_id"), F.col("a.digest").alias("digest"))
-        texts = rows.select("doc_id", "digest", "__text").join(nodes, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-        return similar(pairs, materialise(texts.select(F.struct(F.col("doc_id").alias("d"), "digest").alias("__id"), "__text")), width, least_similarity)
+        nodes = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+        return similar(pairs, materialise(texts_of(nodes)), width, least_similarity)
 
     tried = materialise(ordered(equal.unionAll(linked).unionAll(met.select(F.col("id").alias("a"), F.col("head").alias("b")))))
     group = components(alike(tried))
-    apart = materialise(apart_in_buckets(met, group, own, least_similarity).join(tried, ["a", "b"], "left_anti"))
+    apart = materialise(apart_in_buckets(met, group, texts_of, width, least_similarity).join(tried, ["a", "b"], "left_anti"))
     if not apart.isEmpty():
         roots = group.select(F.col("node").alias("a"), F.col("root").alias("b"))
         group = components(roots.unionAll(alike(apart)))
