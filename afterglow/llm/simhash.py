@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +23,8 @@ BUCKET_LIMIT = 256
 BANDS, BAND_ROWS, NEIGHBOURS = 20, 5, 256
 _draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
 OFFSETS, FACTORS = _draws[0] << np.uint64(1), _draws[1] << np.uint64(1) | np.uint64(1)
+#: In larger buckets, texts outside the largest group are held in blocks of about so many, and all texts pass them in tiles of so many.
+BLOCK, TILE = 512, 8192
 #: Smallest hashes by which texts of one bucket are compared before their words are.
 WIDE = 1024
 _draws = np.random.default_rng(SEED + 1).integers(0, 1 << 63, (2, WIDE), np.uint64)
@@ -322,39 +324,54 @@ def agreeing(least_similarity: float) -> int:
     return int(WIDE * least_similarity - 4.5 * (WIDE * least_similarity * (1 - least_similarity)) ** 0.5)
 
 
-def apart_in_buckets(met: DataFrame, group: DataFrame, texts_of: Callable[[DataFrame], DataFrame], width: int, least_similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes of one bucket of a band that are not in one group yet and whose smallest hashes agree as often as
-    such texts' do; met: (id, k, next), texts_of(ids): (__id, __text) of nodes (id).
-
-    Only the texts of buckets that hold several groups are sketched anew, by WIDE smallest hashes. A bucket is streamed in the order of
-    its members' next bands, each compared with the NEIGHBOURS before it, where buckets of up to that many and one are compared
-    in full. Pairs that do not agree leave no row.
-    """
+def split_buckets(met: DataFrame, group: DataFrame) -> DataFrame:
+    """(id, k, next, root, n) of the members of buckets that hold several groups, with their group and the size of their bucket;
+    met: (id, k, next, n)."""
     root = group.select(F.col("node").alias("id"), "root")
-    known = met.join(root, "id", "left").select("id", "k", "next", F.xxhash64(F.coalesce("root", "id")).alias("root"))
+    known = met.join(root, "id", "left").select("id", "k", "next", "n", F.xxhash64(F.coalesce("root", "id")).alias("root"))
     split = known.groupBy("k").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one <> other").select("k")
-    members = materialise(known.join(split, "k", "left_semi"))
-    n = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    enough = agreeing(least_similarity)
-    id_type = met.schema["id"].dataType.simpleString()
+    return known.join(split, "k", "left_semi")
 
-    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def wide_sketches(texts: DataFrame, width: int) -> DataFrame:
+    """(id, least) of texts (__id, __text): their WIDE smallest hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             least = [wide_sketch(shingle_parts(t, width)) for t in raw_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.binary())], names=["id", "least"])
 
-    wide = texts_of(members.select("id").distinct()).select("__id", "__text").mapInArrow(widen, f"id {id_type}, least binary")
+    return texts.select("__id", "__text").mapInArrow(run, f"id {texts.schema['__id'].dataType.simpleString()}, least binary")
+
+
+def _whole(batch: pa.RecordBatch) -> list[pa.Array]:
+    return [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in batch.columns]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def apart_in_buckets(members: DataFrame, wide: DataFrame, least_similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket of a band that are not in one group yet and whose smallest hashes agree as often as
+    such texts' do; members as by `split_buckets`, wide: (id, least).
+
+    A bucket is streamed in the order of its members' next bands, each compared with the NEIGHBOURS before it, where buckets of
+    up to that many and one are compared in full; `apart_in_crowded` compares the rest. Pairs that do not agree leave no row.
+    """
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    enough = agreeing(least_similarity)
+    id_type = members.schema["id"].dataType.simpleString()
     dealt = members.join(wide, "id").repartition(n, "k").sortWithinPartitions("k", "next", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for batch in batches:
-            rows = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in batch.columns]
+            rows = _whole(batch)
             now = [pa.concat_arrays([h, r]) for h, r in zip(held, rows, strict=True)] if held else rows
-            ids, k, roots = now[0], now[1].to_numpy(), now[2].to_numpy()
-            least = np.frombuffer(b"".join(now[3].to_pylist()), np.uint8).reshape(len(k), -1)
-            start = np.searchsorted(np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])), np.arange(len(k)), side="right") - 1
-            start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))[start]
+            ids, k, roots, least = now[0], now[1].to_numpy(), now[2].to_numpy(), _matrix(now[3])
+            starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            start = starts[np.searchsorted(starts, np.arange(len(k)), side="right") - 1]
             a, b = [], []
             for i in range(len(k) - len(rows[1]), len(k)):
                 low = max(int(start[i]), i - NEIGHBOURS)
@@ -368,6 +385,50 @@ def apart_in_buckets(met: DataFrame, group: DataFrame, texts_of: Callable[[DataF
     return ordered(dealt.select("id", "k", "root", "least").mapInArrow(run, f"a {id_type}, b {id_type}"))
 
 
+def apart_in_crowded(members: DataFrame, wide: DataFrame, least_similarity: float) -> DataFrame:
+    """The same pairs, all of them, for buckets of more than NEIGHBOURS and one; members as by `split_buckets`.
+
+    Texts of one group need no comparison, so those outside a bucket's largest group ask, and all texts of the bucket pass them. Askers
+    are dealt to blocks of about BLOCK and texts to tiles of about TILE by a hash; a task holds one block and streams one tile. The
+    work is the product of askers and texts, which is small where most of a bucket is one group; only pairs that agree leave a row.
+    """
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    enough = agreeing(least_similarity)
+    id_type = members.schema["id"].dataType.simpleString()
+    sizes = members.groupBy("k", "root").agg(F.count(F.lit(1)).alias("c"))
+    shape = sizes.groupBy("k").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("texts"), F.max("c").alias("c"))
+    count = lambda of, size: F.ceil(of / F.lit(size)).cast("int")
+    shape = shape.select("k", "main", count(F.col("texts") - F.col("c"), BLOCK).alias("blocks"), count(F.col("texts"), TILE).alias("tiles"))
+    block, tile = (F.pmod(F.xxhash64("id", F.lit(seed)), F.col(of)).cast("int") for seed, of in ((1, "blocks"), (2, "tiles")))
+    asked = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(block.alias("block"), t.alias("tile"), F.lit(True).alias("asks")))
+    passed = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(b.alias("block"), tile.alias("tile"), F.lit(False).alias("asks")))
+    cells = F.explode(F.when(F.col("root") != F.col("main"), F.concat(asked, passed)).otherwise(passed))
+    placed = members.join(shape, "k").select("id", "k", "root", cells.alias("cell")).select("id", "k", "root", "cell.*").join(wide, "id")
+    dealt = placed.repartition(n, "k", "block", "tile").sortWithinPartitions("k", "block", "tile", F.desc("asks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, askers, matrix = None, [], None
+        for batch in batches:
+            ids, k, roots, blocks, tiles, asks, least = _whole(batch)
+            sketch, k, roots, asks = _matrix(least), k.to_numpy(), roots.to_numpy(), asks.to_numpy(zero_copy_only=False)
+            keys = np.stack([k, blocks.to_numpy().astype(np.int64), tiles.to_numpy().astype(np.int64)], 1)
+            a, b = [], []
+            for i in range(len(k)):
+                if cell is None or (keys[i] != cell).any():
+                    cell, askers, matrix = keys[i], [], None
+                if asks[i]:
+                    askers.append((ids[i].as_py(), roots[i], sketch[i]))
+                elif askers:
+                    if matrix is None:
+                        matrix = np.stack([x[2] for x in askers]), np.array([x[1] for x in askers])
+                    like = np.flatnonzero((matrix[1] != roots[i]) & ((matrix[0] == sketch[i]).sum(1) >= enough))
+                    a += [i] * len(like)
+                    b += [askers[j][0] for j in like]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(a, pa.int64())), pa.array(b, ids.type)], names=["a", "b"])
+
+    return ordered(dealt.select("id", "k", "root", "block", "tile", "asks", "least").mapInArrow(run, f"a {id_type}, b {id_type}"))
+
+
 def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity: float = 0.8, text: str = "text", bands: bool = False) -> DataFrame:
     """The rows of `docs` with all columns, one document of each group of near duplicates: that of the smallest doc_id.
 
@@ -375,8 +436,8 @@ def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity:
     are joined to one before anything else. Pairs are proposed by fingerprints within `radius` bits and each is checked on
     the texts. Fingerprints alone miss most pairs of 0.8; with `bands`, texts that share the key of a band are proposed too:
     first every text with the smallest of its buckets, then all pairs of a bucket that are not yet in one group and whose
-    smallest hashes agree as often as those of such texts; in buckets of more than NEIGHBOURS different texts, each with the
-    NEIGHBOURS before it in the order of their next band.
+    smallest hashes agree as often as those of such texts: near ones in the order of their next band, and, where a larger
+    bucket then still holds several groups, all.
 
     A document is a doc_id with a text: rows that repeat both are one and one row stays; rows of one doc_id with unlike
     texts all stay. Null and empty texts have no shingles and are equal. Rows with a null doc_id cannot stand for a group and
@@ -396,7 +457,7 @@ def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity:
     # texts by bands, each with the first of its bucket
     keyed = own.select("id", F.posexplode("keys").alias("i", "k"), F.expr("keys[(i + 1) % size(keys)]").alias("next"))
     buckets = keyed.groupBy("k").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = materialise(keyed.join(buckets, "k").select("id", "k", "next", "head"))
+    met = materialise(keyed.join(buckets, "k").select("id", "k", "next", "n", "head"))
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         asked = nodes.select(F.col("id.d").alias("doc_id"), F.col("id.digest").alias("digest"))
@@ -407,12 +468,22 @@ def keep_one(docs: DataFrame, width: int = 5, radius: int = 5, least_similarity:
         nodes = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
         return similar(pairs, materialise(texts_of(nodes)), width, least_similarity)
 
+    def joined(group: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The groups, joined where the texts of a pair are alike."""
+        roots = group.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return group if pairs.isEmpty() else components(roots.unionAll(alike(pairs)))
+
     tried = materialise(ordered(equal.unionAll(linked).unionAll(met.select(F.col("id").alias("a"), F.col("head").alias("b")))))
     group = components(alike(tried))
-    apart = materialise(apart_in_buckets(met, group, texts_of, width, least_similarity).join(tried, ["a", "b"], "left_anti"))
-    if not apart.isEmpty():
-        roots = group.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        group = components(roots.unionAll(alike(apart)))
+    members = materialise(split_buckets(met, group))
+    if not members.isEmpty():
+        wide = materialise(wide_sketches(texts_of(members.select("id").distinct()), width))
+        apart = materialise(apart_in_buckets(members, wide, least_similarity).join(tried, ["a", "b"], "left_anti"))
+        group = joined(group, apart)
+        crowded = materialise(split_buckets(met.filter(F.col("n") > NEIGHBOURS + 1), group))
+        if not crowded.isEmpty():
+            rest = apart_in_crowded(crowded, wide, least_similarity).join(tried.unionAll(apart), ["a", "b"], "left_anti")
+            group = joined(group, materialise(rest))
 
     # of each digest its node stays, unless that belongs to another
     gone = group.select(F.col("node.d").alias("d"), F.col("node.digest").alias("digest"))

@@ -188,3 +188,24 @@ def test_crowded_buckets_at_radius_five(spark, monkeypatch):
         assert all((m & ~kept).bit_count() >= 1 and m & kept == kept for m in masks)
         for bits in rng.integers(kept.bit_length(), 64, (300, 5)).tolist():
             assert any(not m & sum(1 << b for b in set(bits)) for m in masks)
+
+
+def test_texts_far_apart_in_a_crowded_bucket_are_found(spark, monkeypatch):
+    """Versions of one text about 0.8 alike, far more than the neighbours that a first pass compares: groups of brute force."""
+    for name, value in (("NEIGHBOURS", 1), ("BLOCK", 5), ("TILE", 7)):
+        monkeypatch.setattr(simhash, name, value)
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(300)]
+    texts = []
+    for _ in range(90):
+        words = list(base)
+        for at in rng.sample(range(300), rng.randint(2, 6)):
+            words[at] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    want, pairs = kept_by_brute_force(texts)
+    assert 1 < len(want) < 60 and pairs
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id for r in simhash.keep_one(df, bands=True).collect()}
+    monkeypatch.setattr(simhash, "apart_in_crowded", lambda members, wide, least: members.select(members["id"].alias("a"), members["id"].alias("b")).limit(0))
+    without = {r.doc_id for r in simhash.keep_one(df, bands=True).collect()}
+    assert got == want and got < without
