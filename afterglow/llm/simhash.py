@@ -358,19 +358,21 @@ def apart_in_buckets(members: DataFrame, wide: DataFrame, least_similarity: floa
 
     A bucket is streamed in the order of its members' next bands, each compared with the NEIGHBOURS before it, where buckets of
     up to that many and one are compared in full; `apart_in_crowded` compares the rest. Pairs that do not agree leave no row.
+    A bucket of more than TILE is dealt by a hash to parts of about so many, so that none is streamed by one task.
     """
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     enough = agreeing(least_similarity)
     id_type = members.schema["id"].dataType.simpleString()
-    dealt = members.join(wide, "id").repartition(n, "k").sortWithinPartitions("k", "next", "id")
+    part = F.pmod(F.xxhash64("id", F.lit(3)), F.ceil(F.col("n") / F.lit(TILE))).cast("int")
+    dealt = members.join(wide, "id").withColumn("part", part).repartition(n, "k", "part").sortWithinPartitions("k", "part", "next", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for batch in batches:
             rows = _whole(batch)
             now = [pa.concat_arrays([h, r]) for h, r in zip(held, rows, strict=True)] if held else rows
-            ids, k, roots, least = now[0], now[1].to_numpy(), now[2].to_numpy(), _matrix(now[3])
-            starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            ids, k, roots, least, parts = now[0], now[1].to_numpy(), now[2].to_numpy(), _matrix(now[3]), now[4].to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (parts[1:] != parts[:-1])]))
             start = starts[np.searchsorted(starts, np.arange(len(k)), side="right") - 1]
             a, b = [], []
             for i in range(len(k) - len(rows[1]), len(k)):
@@ -382,7 +384,7 @@ def apart_in_buckets(members: DataFrame, wide: DataFrame, least_similarity: floa
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))], names=["a", "b"])
             held = [c.slice(max(len(c) - NEIGHBOURS, 0)) for c in now]
 
-    return ordered(dealt.select("id", "k", "root", "least").mapInArrow(run, f"a {id_type}, b {id_type}"))
+    return ordered(dealt.select("id", "k", "root", "least", "part").mapInArrow(run, f"a {id_type}, b {id_type}"))
 
 
 def apart_in_crowded(members: DataFrame, wide: DataFrame, least_similarity: float) -> DataFrame:
