@@ -99,6 +99,21 @@ def write_units(size: Column) -> Column:
     return F.ceil(size / 1024.0)
 
 
+def daily_total(hourly: DataFrame, title: str) -> DataFrame:
+    """(dt, views) of one title; the filter reaches the scan."""
+    return hourly.filter(F.col("page_title") == title).groupBy(F.to_date("hour_start").alias("dt")).agg(F.sum("views").alias("views"))
+
+
+def mean_and_most(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, n, mean, most) of a value; nulls count in neither."""
+    return rows.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("most"))
+
+
+def sizes_by_prefix(objects: DataFrame, depth: int) -> DataFrame:
+    """(prefix, objects, bytes) of stored objects (key, size) by the first `depth` parts of their keys."""
+    return objects.groupBy(F.substring_index("key", "/", depth).alias("prefix")).agg(F.count(F.lit(1)).alias("objects"), F.sum("size").alias("bytes"))
+
+
 def missing_hours(rows: DataFrame, first: Column, last: Column) -> DataFrame:
     """(hour_start) of the hours of a span without any row."""
     span = rows.sparkSession.range(1).select(F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("hour_start"))

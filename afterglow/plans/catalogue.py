@@ -382,6 +382,22 @@ def layout_descents(spark, sf_dir):
     return analysis.descents(items, "at", "l_quantity", "l_suppkey")
 
 
+@query
+def title_daily_total(spark, sf_dir):
+    return analysis.daily_total(inputs.event_hours(spark, sf_dir), "User 3")
+
+
+@query
+def mean_and_most(spark, sf_dir):
+    return analysis.mean_and_most(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity")
+
+
+@query
+def sizes_by_prefix(spark, sf_dir):
+    """Bytes of pages by site, the address as the key."""
+    return analysis.sizes_by_prefix(table(spark, sf_dir, "pages").select(F.col("url").alias("key"), F.octet_length("html").alias("size")), 3)
+
+
 @query
 def union_all_excluded(spark, sf_dir):
     both = inputs.event_days(spark, sf_dir).select("page_title").unionAll(inputs.event_hours(spark, sf_dir).select("page_title"))
@@ -437,6 +453,19 @@ def published_hours(spark, sf_dir):
     return manifest.published_problems(hourly, recorded)
 
 
+@query
+def publish_states(spark, sf_dir):
+    """Days after publishing: some not compacted, some with a wrong total or a wrong hour in the manifest."""
+    daily, hourly = inputs.event_days(spark, sf_dir), inputs.event_hours(spark, sf_dir)
+    day = F.dayofmonth("dt")
+    totals = daily.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"), F.sum("views").alias("v"))
+    states = totals.select("dt", F.when(day % 7 == 3, "failed").otherwise("compacted").alias("status"), "rows", (F.col("v") + F.when(day % 5 == 0, 1).otherwise(0)).alias("views"))
+    counted = hourly.groupBy("hour_start").agg(F.count(F.lit(1)).alias("n"))
+    off = F.when((F.dayofmonth("hour_start") % 4 == 2) & (F.hour("hour_start") % 10 == 6), 1).otherwise(0)
+    recorded = counted.select(manifest.hour_label(F.col("hour_start")).alias("hour"), (F.col("n") + off).alias("rows"))
+    return publish.publication(states, recorded, daily, hourly)
+
+
 @query
 def missing_months(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("dt"))

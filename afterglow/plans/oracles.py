@@ -184,4 +184,12 @@ SQL: dict[str, str] = {
     "letters_feed": """WITH h AS (SELECT user_id, ts::DATE AS dt, hour(ts) AS h, count(*) AS n FROM events GROUP BY ALL), d AS (SELECT user_id, dt, map_from_entries(list((h, n))) AS m, sum(n)::BIGINT AS s FROM h GROUP BY ALL)
         SELECT 'U_' || user_id || '_' || dt AS title, s + (user_id % 7 = 0)::BIGINT AS daily, list_transform(range(24), lambda i: coalesce(m[i], 0)::BIGINT) AS hours, user_id % 7 <> 0 AS consistent FROM d""",
     "models_in_sql": events("SELECT calendar_page, count(*) AS spikes, sum(n)::BIGINT AS hours, max(peak_views) AS most FROM facts JOIN (SELECT spike_id, count(*) AS n FROM hours GROUP BY 1) USING (spike_id) GROUP BY 1"),
+    "publish_states": events(
+        "SELECT dt, CASE WHEN day(dt) % 7 = 3 THEN 'refused' WHEN problems > 0 THEN 'replacing' ELSE 'published' END AS state, problems FROM p",
+        "by_hour AS (SELECT hour_start, count(*) AS n FROM raw_hourly GROUP BY 1)",
+        "p AS (SELECT hour_start::DATE AS dt, (day(dt) % 5 = 0)::BIGINT + 24 - count(*) + count(*) FILTER (WHERE day(hour_start) % 4 = 2 AND hour(hour_start) % 10 = 6) AS problems FROM by_hour GROUP BY 1)",
+    ),
+    "title_daily_total": events("SELECT dt, views FROM raw_daily WHERE page_title = 'User 3'"),
+    "mean_and_most": "SELECT l_suppkey, count(l_quantity) AS n, avg(l_quantity) AS mean, max(l_quantity) AS most FROM lineitem GROUP BY 1",
+    "sizes_by_prefix": "SELECT array_to_string(string_split(url, '/')[1:3], '/') AS prefix, count(*) AS objects, sum(strlen(html))::BIGINT AS bytes FROM pages GROUP BY 1",
 }

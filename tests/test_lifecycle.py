@@ -328,3 +328,32 @@ def test_lake_tables_and_months(spark, tmp_path):
     lake.append_journal(rows.limit(1), str(tmp_path / "journal"))
     lake.append_journal(rows.limit(1), str(tmp_path / "journal"))
     assert spark.read.json(str(tmp_path / "journal")).count() == 2
+
+
+def test_publication_tells_refused_replacing_and_published_days(spark):
+    days = [date(2024, 5, d) for d in (1, 2, 3)]
+    daily = spark.createDataFrame([("A", d, 24) for d in days], "page_title string, dt date, views long")
+    hourly = spark.createDataFrame([("A", datetime(2024, 5, d.day, h), 1) for d in days for h in range(24)], "page_title string, hour_start timestamp_ntz, views long")
+    labels = manifest.expected_hours(daily.select("dt"))
+    hours = labels.select("hour", F.when(F.col("hour") == "2024-05-02T05", 9).otherwise(1).alias("rows"))
+    states = spark.createDataFrame([(days[0], "compacted", 1, 24), (days[1], "compacted", 1, 25), (days[2], None, 1, 24)], "dt date, status string, rows long, views long")
+    found = {r.dt.day: (r.state, r.problems) for r in publish.publication(states, hours, daily, hourly).collect()}
+    assert found == {1: ("published", 0), 2: ("replacing", 2), 3: ("refused", 0)}
+    unrecorded = publish.publication(states, hours.limit(0), daily, hourly)
+    assert {r.problems for r in unrecorded.collect()} == {24, 25}
+    assert publish.publication(states.limit(0), hours, daily, hourly).collect() == []
+
+
+def test_staging_of_published_days_is_retired_once(spark, tmp_path):
+    keys = []
+    for name in ("day.parquet", "part-0.parquet"):
+        (tmp_path / name).write_text("x")
+        keys.append((date(2024, 5, 1), f"file://{tmp_path}/{name}"))
+    staging = spark.createDataFrame(keys, "dt date, key string")
+    states = spark.createDataFrame([(date(2024, 5, 1), True)], "dt date, published boolean")
+    with pytest.raises(ValueError, match="not published"):
+        publish.retire(spark, staging, states.withColumn("published", F.lit(False)))
+    assert len(list(tmp_path.glob("*.parquet"))) == 2
+    assert publish.retire(spark, staging, states) == 2
+    assert publish.retire(spark, staging, states) == 0
+    assert not list(tmp_path.glob("*.parquet"))
