@@ -74,7 +74,7 @@ DEPTH = 64
 TEMPLATE_PAGES = 3
 #: Pages are copies of one text where constants hold more than so many times the text of slots.
 COPIES = 4
-#: Nodes of a wrapper; beyond twice as many those of the fewest pages go, and pages speak for themselves there.
+#: Nodes of a wrapper; beyond twice as many those of the fewest pages go. What the host's pages tell of those is counted apart, see `counted`.
 WRAPPER_NODES = 2048
 #: Longer constants are known by their hash.
 CONSTANT_CHARS = 80
@@ -359,9 +359,39 @@ def _merge(node: list, other: list) -> None:
         node[SEEN] = sorted({*node[SEEN], *other[SEEN]})[:TEMPLATE_PAGES]
 
 
+def _ascending(place: dict, keys: Iterable[tuple[int, object]]) -> list[tuple[int, int]]:
+    """The longest ascending run of (place of a key left, place right) over the keys of the right side, last pair first."""
+    ends: list[int] = []
+    chain: list[tuple[int, int, int]] = []  # place left, place right, the entry before
+    tops: list[int] = []
+    for j, key in keys:
+        i = place.get(key)
+        if i is None:
+            continue
+        k = bisect_left(ends, i)
+        chain.append((i, j, tops[k - 1] if k else -1))
+        ends[k : k + 1], tops[k : k + 1] = [i], [len(chain) - 1]
+    run, entry = [], tops[-1] if tops else -1
+    while entry >= 0:
+        i, j, entry = chain[entry]
+        run.append((i, j))
+    return run
+
+
+def _numbered(paths: list[str]) -> list[tuple[str, int]]:
+    """Each path with how often it stood before."""
+    seen: Counter[str] = Counter()
+    out = []
+    for path in paths:
+        out.append((path, seen[path]))
+        seen[path] += 1
+    return out
+
+
 def _common(left: list[str], right: list[str]) -> list[tuple[int, int]]:
     """Pairs of places where two lists agree, ascending on both sides: equal ends first, then the longest ascending run of
-    what each side holds once, and so on between those."""
+    what each side holds once, and so on between those. Where nothing stands once, the longest matching blocks count, in
+    long lists the longest ascending run of equally numbered ones."""
     pairs: list[tuple[int, int]] = []
     todo = [(0, len(left), 0, len(right))]
     while todo:
@@ -377,24 +407,18 @@ def _common(left: list[str], right: list[str]) -> list[tuple[int, int]]:
         once_left = {p: n for p, n in Counter(left[a:a_end]).items() if n == 1}
         once_right = Counter(right[b:b_end])
         place = {left[i]: i for i in range(a, a_end) if left[i] in once_left and once_right.get(left[i]) == 1}
-        ends: list[int] = []
-        chain: list[tuple[int, int, int]] = []  # place left, place right, the entry before
-        tops: list[int] = []
-        for j in range(b, b_end):
-            i = place.get(right[j])
-            if i is None:
-                continue
-            k = bisect_left(ends, i)
-            chain.append((i, j, tops[k - 1] if k else -1))
-            ends[k : k + 1], tops[k : k + 1] = [i], [len(chain) - 1]
-        if not tops:
+        run = _ascending(place, ((j, right[j]) for j in range(b, b_end))) if place else []
+        if not run:
             if (a_end - a) * (b_end - b) <= 4096:
                 for i, j, n in SequenceMatcher(None, left[a:a_end], right[b:b_end], autojunk=False).get_matching_blocks():
                     pairs += [(a + i + k, b + j + k) for k in range(n)]
-            continue
-        entry, hi_a, hi_b = tops[-1], a_end, b_end
-        while entry >= 0:
-            i, j, entry = chain[entry]
+                continue
+            place = {key: i for i, key in enumerate(_numbered(left[a:a_end]), a)}
+            run = _ascending(place, enumerate(_numbered(right[b:b_end]), b))
+            if not run:
+                continue
+        hi_a, hi_b = a_end, b_end
+        for i, j in run:
             pairs.append((i, j))
             todo.append((i + 1, hi_a, j + 1, hi_b))
             hi_a, hi_b = i, j
@@ -456,23 +480,49 @@ def judged(wrapper: list[list]) -> list[list]:
     Constants of three different pages are template, unless constants outweigh the slots by far: then the pages are copies.
     Nodes that are mostly links are menus. Others weigh what unlinked text a page has there.
     """
-    constant = [n[TEXT] is not None and len(n[SEEN]) >= TEMPLATE_PAGES for n in wrapper]
-    weight = [(n[CHARS] - n[LINKED]) / n[PAGES] for n in wrapper]
-    copies = sum(w for w, c in zip(weight, constant, strict=True) if c) > COPIES * sum(w for w, c in zip(weight, constant, strict=True) if not c)
-    return [[n[PATH], round(w, 1), c and not copies, 2 * n[LINKED] > n[CHARS]] for n, w, c in zip(wrapper, weight, constant, strict=True)]
+    told = [_told(n) for n in wrapper]
+    copies = sum(w for w, c, _ in told if c) > COPIES * sum(w for w, c, _ in told if not c)
+    return [[n[PATH], round(w, 1), c and not copies, m] for n, (w, c, m) in zip(wrapper, told, strict=True)]
+
 
+def _told(node: list) -> tuple[float, bool, bool]:
+    """Average weight of a node, whether it is a constant of enough pages, and whether it is mostly links."""
+    return (node[CHARS] - node[LINKED]) / node[PAGES], node[TEXT] is not None and len(node[SEEN]) >= TEMPLATE_PAGES, 2 * node[LINKED] > node[CHARS]
 
-def main_text(page: list[Field], marks: list[list]) -> str:
-    """Texts of the fields of a page's main region, joined by line feeds; `marks` are those of `judged`, for the page's host."""
+
+def places(marks: list[list], nodes: list[list]) -> list[str]:
+    """A name for the place of each of a page's nodes: the wrapper's node, or for others their path, numbered in the page."""
+    out = [""] * len(nodes)
+    seen: Counter[str] = Counter()
+    for i, j in aligned([m[0] for m in marks], [n[PATH] for n in nodes]):
+        if j is None:
+            continue
+        if i is not None:
+            out[j] = str(i)
+        else:
+            path = _constant([nodes[j][PATH]])
+            out[j] = f"{seen[path]} {path}"
+            seen[path] += 1
+    return out
+
+
+def main_text(page: list[Field], marks: list[list], told: dict[str, tuple[float, bool, bool]] | None = None) -> str:
+    """Texts of the fields of a page's main region, joined by line feeds; `marks` are those of `judged`, for the page's host.
+
+    Where the wrapper has lost nodes, `told` has weight, template and menu of each of the page's `places` instead.
+    """
     nodes, node_of = folded(page)
     path_of: list[Path] = [page[0].path] * len(nodes)
     for field, n in zip(reversed(page), reversed(node_of), strict=True):
         path_of[n] = field.path
     weight = [float(n[CHARS] - n[LINKED]) for n in nodes]
     template, menu = [False] * len(nodes), [2 * n[LINKED] > n[CHARS] for n in nodes]
-    for i, j in aligned([m[0] for m in marks], [n[PATH] for n in nodes]):
-        if i is not None and j is not None:
-            _, weight[j], template[j], menu[j] = marks[i]
+    if told is None:
+        for i, j in aligned([m[0] for m in marks], [n[PATH] for n in nodes]):
+            if i is not None and j is not None:
+                _, weight[j], template[j], menu[j] = marks[i]
+    else:
+        weight, template, menu = map(list, zip(*(told[place] for place in places(marks, nodes)), strict=True))
     # the weight in each element, as the wrapper has it and with hints
     plain: dict[Path | None, float] = defaultdict(float)
     hinted: dict[Path | None, float] = defaultdict(float)
@@ -507,10 +557,11 @@ def host_of(url: Column) -> Column:
 
 
 def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
-    """(host, pages, wrapper as JSON) inferred from all pages, given as (host, html).
+    """(host, pages, characters of their fields, wrapper as JSON) inferred from all pages, given as (host, html).
 
     Each Arrow batch infers a wrapper for each of its hosts; those are united by (host, salt), then by host, from a sorted
     stream. A host with a third of all pages arrives as one wrapper a batch; a wrapper has at most 2 x WRAPPER_NODES nodes.
+    One that has lost nodes holds fewer characters than its pages.
     """
     ship_package(pages.sparkSession)
 
@@ -519,34 +570,113 @@ def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
             found: dict[str, list[list[list]]] = defaultdict(list)
             for host, page in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 found[host].append(folded(fields(page))[0])
-            yield _written((host, len(parts), united(parts)) for host, parts in found.items())
+            yield _written((host, len(parts), sum(n[CHARS] for part in parts for n in part), united(parts)) for host, parts in found.items())
 
     def from_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, count, parts = None, 0, []
+        host, count, chars, parts = None, 0, 0, []
         for batch in batches:
             done = []
-            for name, n, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, n, size, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if parts and name != host:
-                    done.append((host, count, united(parts)))
-                    count, parts = 0, []
-                host, count = name, count + n
+                    done.append((host, count, chars, united(parts)))
+                    count, chars, parts = 0, 0, []
+                host, count, chars = name, count + n, chars + size
                 parts.append(json.loads(found))
                 if len(parts) == 64:  # so many are held at most
                     parts = [united(parts)]
             yield _written(done)
         if parts:
-            yield _written([(host, count, united(parts))])
+            yield _written([(host, count, chars, united(parts))])
 
-    schema = "host string, pages long, wrapper string"
+    schema = "host string, pages long, chars long, wrapper string"
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = pages.select("host", "html").mapInArrow(from_pages, schema).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts)))
-    salted = salted.repartition(n, "host", "salt").sortWithinPartitions("host", "salt", "wrapper").select("host", "pages", "wrapper")
+    salted = salted.repartition(n, "host", "salt").sortWithinPartitions("host", "salt", "wrapper").select("host", "pages", "chars", "wrapper")
     return salted.mapInArrow(from_wrappers, schema).repartition(n, "host").sortWithinPartitions("host", "wrapper").mapInArrow(from_wrappers, schema)
 
 
-def _written(found: Iterable[tuple[str, int, list]]) -> pa.RecordBatch:
+def _written(found: Iterable[tuple[str, int, int, list]]) -> pa.RecordBatch:
     found = list(found)
-    return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()), pa.array([json.dumps(f[2], ensure_ascii=False) for f in found], pa.string())], names=["host", "pages", "wrapper"])
+    columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64())]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([json.dumps(f[3], ensure_ascii=False) for f in found], pa.string())], names=["host", "pages", "chars", "wrapper"])
+
+
+#: A page of a host, by 128 bits of both.
+KEY = "__key"
+
+
+def counted(pages: DataFrame) -> DataFrame:
+    """(key, n, told) of pages whose host's wrapper has lost nodes, given as (key, host, html, marks).
+
+    Here the wrapper that is left only names places. What the host's pages tell of each place, those outside the wrapper included,
+    is counted over all of them and joined to the pages, so no host needs to fit a task. `told` has place, weight, template and menu
+    of all nodes of a page; `n` is the number of pages of one key.
+    """
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def nodes_of(batch: pa.RecordBatch) -> Iterator[tuple[bytes, str, list[str], list[list]]]:
+        seen: dict[str, list] = {}
+        for key, host, page, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), batch.column(3), strict=True):
+            if host not in seen:
+                if len(seen) > 100:
+                    seen.clear()
+                seen[host] = json.loads(found.as_py())
+            nodes, _ = folded(fields(page))
+            yield key, host, places(seen[host], nodes), nodes
+
+    def merged(rows: Iterable[tuple[str, str, list]]) -> pa.RecordBatch:
+        rows = list(rows)
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([json.dumps(r[2], ensure_ascii=False) for r in rows], pa.string())], names=["host", "place", "node"])
+
+    def from_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[tuple[str, str], list] = {}
+            for _, host, at, nodes in nodes_of(batch):
+                for place, node in zip(at, nodes, strict=True):
+                    if (host, place) in found:
+                        _merge(found[host, place], node)
+                    else:
+                        found[host, place] = node
+            yield merged((host, place, node) for (host, place), node in found.items())
+
+    def from_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, None
+
+        def told(rows: list[tuple[tuple[str, str], list]]) -> pa.RecordBatch:
+            columns = list(zip(*((host, place, node[PAGES], *_told(node)) for (host, place), node in rows), strict=True)) or [[]] * 6
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.float64(), pa.bool_(), pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["host", "place", "n", "weight", "constant", "menu"])
+
+        for batch in batches:
+            done = []
+            for host, place, node in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                node = json.loads(node)
+                if (host, place) == at:
+                    _merge(held, node)
+                    continue
+                if at is not None:
+                    done.append((at, held))
+                at, held = (host, place), node
+            yield told(done)
+        if at is not None:
+            yield told([(at, held)])
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(key, host, place) for key, host, at, _ in nodes_of(batch) for place in at]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.binary(), pa.string(), pa.string()))], names=[KEY, "host", "place"])
+
+    pages = pages.select(KEY, "host", "html", "marks")
+    dealt = pages.mapInArrow(from_pages, "host string, place string, node string").repartition(n, "host", "place").sortWithinPartitions("host", "place")
+    nodes = materialise(dealt.mapInArrow(from_nodes, "host string, place string, n long, weight double, constant boolean, menu boolean"))
+    share = lambda constant: F.sum(F.when(F.col("constant") == constant, F.col("weight")).otherwise(0.0))
+    copies = materialise(nodes.groupBy("host").agg((share(True) > COPIES * share(False)).alias("copies"), F.count(F.lit(1)).alias("n")))
+    name = F.struct("host", "place").alias("name")
+    ruled = spread_join(nodes.withColumnRenamed("n", "pages"), copies, "host", by=F.xxhash64("place"), size=F.octet_length("host") + 16)
+    ruled = materialise(ruled.select(name, F.round("weight", 1).alias("weight"), F.expr("constant AND NOT copies").alias("template"), "menu", F.col("pages").alias("n")))
+    wanted = pages.mapInArrow(asked, f"{KEY} binary, host string, place string").select(KEY, name)
+    found = spread_join(wanted, ruled, "name", by=F.xxhash64(KEY)).select(KEY, F.struct(F.col("name.place").alias("place"), "weight", "template", "menu").alias("told"))
+    return materialise(found.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"), F.collect_set("told").alias("told")).select(KEY, F.expr("rows div size(told)").alias("n"), "told"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -554,7 +684,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block becomes one space, blocks in page order are joined by a
     line feed. What a host's wrapper says of its nodes is joined to the host's pages: broadcast if that is at most
-    `spread.BROADCAST_BYTES` in all, else by host, with hosts of many pages spread over salts.
+    `spread.BROADCAST_BYTES` in all, else by host, with hosts of many pages spread over salts. Hosts whose pages are so unlike
+    that the wrapper has lost nodes are `counted`.
 
     A null html has no text. Pages with a null or broken url form one host of their own. Repeated rows each give a row;
     an empty table gives none. Other columns of `pages` are not read.
@@ -564,24 +695,35 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [json.dumps(judged(json.loads(w)), ensure_ascii=False) for w in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.string())], names=["host", "n", "marks"])
-
-    known = materialise(wrappers(named.select("host", "html")).mapInArrow(judge, "host string, n long, marks string"))
-    joined = spread_join(named, known, "host", by=F.xxhash64("page_id", "url"), size=F.octet_length("marks") + F.octet_length("host") + 16).select("page_id", "url", "html", "host", "marks")
+            found = [json.loads(w) for w in batch.column(3).to_pylist()]
+            lost = [sum(n[CHARS] for n in w) < chars for w, chars in zip(found, batch.column(2).to_pylist(), strict=True)]
+            marks = [json.dumps(judged(w), ensure_ascii=False) for w in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lost, pa.bool_()), pa.array(marks, pa.string())], names=["host", "n", "lost", "marks"])
+
+    known = materialise(wrappers(named.select("host", "html")).mapInArrow(judge, "host string, n long, lost boolean, marks string"))
+    joined = spread_join(named, known, "host", by=F.xxhash64("page_id", "url"), size=F.octet_length("marks") + F.octet_length("host") + 17)
+    columns = ["page_id", "url", "html", "host", "marks"]
+    kind = "array<struct<place: string, weight: double, template: boolean, menu: boolean>>"
+    if known.filter("lost").isEmpty():
+        asked = joined.select(*columns, F.lit(None).cast(kind).alias("told"))
+    else:
+        apart = joined.filter("lost").withColumn(KEY, F.unhex(F.md5(F.concat_ws(":", "host", F.coalesce("html", F.lit(""))))))
+        told = spread_join(apart, counted(apart), KEY, by=F.xxhash64("page_id", "url"), how="left").select(*columns, F.col("told").cast(kind))
+        asked = joined.filter("NOT lost").select(*columns, F.lit(None).cast(kind).alias("told")).unionAll(told)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list] = {}
         for batch in batches:
             texts = []
-            for page, host, found in zip(texts_of(batch.column(2)), batch.column(3).to_pylist(), batch.column(4), strict=True):
+            for page, host, found, told in zip(texts_of(batch.column(2)), batch.column(3).to_pylist(), batch.column(4), batch.column(5), strict=True):
                 if host not in seen:
                     if len(seen) > 1000:
                         seen.clear()
                     seen[host] = json.loads(found.as_py())
                 held = fields(page)
-                texts.append(main_text(held, seen[host]) if held else "")
+                ruled = {t["place"]: (t["weight"], t["template"], t["menu"]) for t in told.as_py()} if told.is_valid else None
+                texts.append(main_text(held, seen[host], ruled) if held else "")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     id_type = pages.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long")
+    return asked.mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long")

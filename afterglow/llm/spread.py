@@ -19,7 +19,7 @@ def spread_join(rows: DataFrame, known: DataFrame, key: str, by: Column, size: C
     `known` has each key once and the column `n`, how many of the rows have that key; it is read several times, so it should be
     written. If `size` gives the bytes of its rows and they come to BROADCAST_BYTES at most, it is broadcast. Otherwise both sides are
     dealt by key, those of a hot key by key and salt: `by` spreads its rows, and its row of `known` is repeated for each salt. The hot keys
-    themselves, fewer than HOT_SHARE, are broadcast. `how` is inner or left_semi. Null keys match nothing.
+    themselves, fewer than HOT_SHARE, are broadcast. `how` is inner, left or left_semi. Null keys match nothing.
     """
     measured = known.agg(F.sum("n").alias("rows"), *([F.sum(size).alias("bytes")] if size is not None else [])).first()
     right = known.drop("n")

@@ -169,3 +169,35 @@ def test_hot_hosts_are_spread(spark, monkeypatch):
     monkeypatch.setattr(spread, "HOT_SHARE", 6)
     got = he.extract(df)
     assert {r.page_id: r.text for r in got.collect()} == want == {i: f"Own text {i}" for i in range(60)}
+
+
+def _unlike_pages():
+    """840 pages of 4,200 places, each on four pages, and a template's box on three: more than a wrapper holds, and the box on the fewest."""
+    name = lambda k: "q" + "".join(chr(97 + k // 26**e % 26) for e in range(3))
+    rows, want = [], {}
+    for i in range(840):
+        texts = [f"own text {i} {k}" for k in range(20)]
+        box = "<div class=box><p>Follow us</p></div>" if i in (5, 300, 777) else ""
+        rows.append((i, "http://unlike.example/", f"<h1>Title {i}</h1>" + "".join(f"<p class={name(i % 210 * 20 + k)}>{t}</p>" for k, t in enumerate(texts)) + box))
+        want[i] = "\n".join([f"Title {i}", *texts])
+    return rows, want
+
+
+def test_nodes_that_a_wrapper_loses_still_count(spark, monkeypatch):
+    from afterglow.llm import spread
+
+    rows, want = _unlike_pages()
+    rows += [rows[5], (None, "http://unlike.example/", None), (900, "http://other.example/", "<p>alone</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    expected = sorted([*want.items(), (5, want[5]), (-1, ""), (900, "alone")])
+    assert sorted((-1 if r.page_id is None else r.page_id, r.text) for r in he.extract(df).collect()) == expected
+    monkeypatch.setattr(spread, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(spread, "HOT_SHARE", 50)
+    assert sorted((-1 if r.page_id is None else r.page_id, r.text) for r in he.extract(df.repartition(7)).collect()) == expected
+
+
+def test_long_gaps_are_aligned():
+    """Lists in which nothing stands once are paired whatever their length."""
+    for size in (20, 200):
+        left, right = ["a", "b"] * size, ["x", "x", *["b", "a"] * size, "x", "x"]
+        assert sum(i is not None and j is not None for i, j in he.aligned(left, right)) >= size
