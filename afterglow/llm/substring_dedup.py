@@ -11,19 +11,22 @@ segments are routed to the shards they can match instead, and not all go through
 
 - where all segments of an anchor have one hash of all their words, each window occurs as often as the anchor does, which
   is what the automaton of a single segment would say; no text is fetched;
-- an anchor with more than SHARD_SEGMENTS occurrences would make a shard of no fixed size, so the windows of its different
-  segments are counted one by one in a grouped pass, by 128-bit digests. That is exact, but no automaton.
+- an anchor with more than SHARD_SEGMENTS occurrences would make a shard of no fixed size, so its different segments are dealt
+  to several shards, and their windows are counted by 128-bit digests: first within each shard, which settles all that occur
+  twice there; then each shard's different windows are held against those of the anchor's other shards, one row each. That is
+  exact, but no automaton.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from afterglow.llm import textblocks as tb
@@ -199,14 +202,15 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Da
     each = keyed.select(KEY, "__text").mapInArrow(find, f"{KEY} binary, place long, anchor long, words long")
     # anchors seen twice, and whether what lies around them is always the same
     seen = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("least"), F.max("words").alias("most")).filter("n > 1")
-    known = materialise(seen.select("anchor", "n", (F.col("least") == F.col("most")).alias("equal"), (F.col("n") > SHARD_SEGMENTS).alias("crowded")))
+    shards = F.ceil(F.col("n") / SHARD_SEGMENTS).cast("int").alias("shards")
+    known = materialise(seen.select("anchor", "n", (F.col("least") == F.col("most")).alias("equal"), shards))
     hits = materialise(spread_join(each, known, "anchor", by=F.xxhash64(KEY, "place")))
     alike = hits.filter("equal").select(KEY, F.shiftright("place", 8).alias("start"), (F.expr("shiftleft(1L, cast(place & 255 as int))") - 1).alias("mask"))
     unlike = hits.filter("NOT equal")
 
     # the documents dealt by key once: for the texts of unlike segments, and for the removal
     dealt = keyed.repartition(n, KEY)
-    wanted = unlike.groupBy(KEY).agg(F.collect_set(F.struct("anchor", "crowded")).alias("wanted"))
+    wanted = unlike.groupBy(KEY).agg(F.collect_set(F.struct("anchor", "shards")).alias("wanted"))
     texts = dealt.select(KEY, "__text").join(wanted, KEY)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,25 +219,24 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Da
                 lists = batch.column(1).slice(block.rows[0], block.n)
                 edges = lists.offsets.to_numpy()
                 inner = lists.values.slice(edges[0], edges[-1] - edges[0])
-                crowded = {(t, a): c for t, a, c in zip(np.repeat(np.arange(block.n), np.diff(edges)).tolist(), inner.field(0).to_pylist(), inner.field(1).to_pylist(), strict=True)}
+                shards = {(t, a): c for t, a, c in zip(np.repeat(np.arange(block.n), np.diff(edges)).tolist(), inner.field(0).to_pylist(), inner.field(1).to_pylist(), strict=True)}
                 found = segments(block, window)
                 starts, ends = block.words
                 data = memoryview(block.data)
                 out: list[list] = [[], [], [], []]
                 for t, anchor, words, a, size in zip(found.text.tolist(), found.anchor.view(np.int64).tolist(), found.words.view(np.int64).tolist(), found.first.tolist(), found.count.tolist(), strict=True):
-                    common = crowded.get((t, anchor))
-                    if common is not None:
+                    dealt_to = shards.get((t, anchor))
+                    if dealt_to is not None:
                         piece = b" ".join(bytes(data[starts[a] : ends[a + size + window - 2]]).split())
-                        for column, v in zip(out, (anchor, words, piece, common), strict=True):
+                        for column, v in zip(out, (anchor, words, piece, dealt_to), strict=True):
                             column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.bool_()), strict=True)], names=["anchor", "words", "piece", "crowded"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.int32()), strict=True)], names=["anchor", "words", "piece", "shards"])
 
-    pieces = texts.select("__text", "wanted").mapInArrow(cut, "anchor long, words long, piece binary, crowded boolean").groupBy("anchor", "words", "piece", "crowded").agg(F.count(F.lit(1)).alias("n"))
+    pieces = texts.select("__text", "wanted").mapInArrow(cut, "anchor long, words long, piece binary, shards int").groupBy("anchor", "words", "piece", "shards").agg(F.count(F.lit(1)).alias("n"))
     judged = materialise(_judged(pieces, window))
-    counted = judged.filter("window IS NOT NULL")
-    twice = materialise(counted.groupBy("window").agg(F.sum("n").alias("times"), F.count(F.lit(1)).alias("n")).filter("times > 1").select("window", "n"))
-    by_window = spread_join(counted.drop("n"), twice, "window", by=F.xxhash64("anchor", "words"), how="left_semi").groupBy("anchor", "words").agg(F.bit_or("mask").alias("mask"))
-    masks = judged.filter("window IS NULL").select("anchor", "words", "mask").unionAll(by_window)
+    # a window has at most one row from each shard of its anchor
+    across = judged.filter("window IS NOT NULL").withColumn("times", F.sum("n").over(Window.partitionBy("window"))).filter("times > 1 AND anchor IS NOT NULL")
+    masks = judged.filter("window IS NULL").unionAll(across.drop("times")).groupBy("anchor", "words").agg(F.bit_or("mask").alias("mask"))
     # a segment is named by its anchor and words together, so copies of one passage are the hot names here
     times = unlike.groupBy("anchor", "words").agg(F.count(F.lit(1)).alias("n"))
     name = F.struct("anchor", "words").alias("name")
@@ -296,40 +299,56 @@ def kept_texts(block: tb.Block, keep: np.ndarray) -> pa.LargeStringArray:
 
 
 def _judged(pieces: DataFrame, window: int) -> DataFrame:
-    """(anchor, words, mask) of segments with repeated windows, from the automata of their shards.
+    """(anchor, words, mask) of segments with repeated windows, from their shards.
 
-    The rows of an anchor lie together in one partition. Those of crowded anchors are spread by their text instead, and
-    give a row for each window: its bit in `mask`, a digest of it, and how often the segment occurs.
+    The rows of a shard lie together in one partition: an anchor's, or those dealt there of an anchor with several shards. Those
+    also give each of their different windows, to be held against the other shards: a digest of it, how often it occurs here, and
+    the segment with its bit in `mask` if it occurs once, else no segment, as it is settled.
     """
     columns = ["anchor", "words", "mask", "window", "n"]
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: list[tuple[int, bytes, int]] = []
-        of = None
+        of: tuple = (None, None, None)  # anchor, its shards, which of them
         for batch in batches:
             out: list[tuple] = []
-            for anchor, words, piece, crowded, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if crowded:
-                    parts = piece.split(b" ")
-                    out += [(anchor, words, 1 << i, hashlib.md5(b" ".join(parts[i : i + window])).digest(), n) for i in range(len(parts) - window + 1)]
-                    continue
-                if anchor != of:
+            for anchor, words, piece, shards, part, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (anchor, shards, part) != of:
                     out += _judge(of, shard, window)
-                    shard, of = [], anchor
+                    shard, of = [], (anchor, shards, part)
                 shard.append((words, piece, n))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=columns)
         out = _judge(of, shard, window)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=columns)
 
     n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.when(F.col("crowded"), F.xxhash64("piece"))
-    dealt = pieces.withColumn("spread", spread).repartition(n, "anchor", "spread").sortWithinPartitions("anchor", "piece")
-    return dealt.select("anchor", "words", "piece", "crowded", "n").mapInArrow(run, "anchor long, words long, mask long, window binary, n long")
+    part = F.pmod(F.xxhash64("piece"), F.col("shards")).cast("int")
+    dealt = pieces.withColumn("part", part).repartition(n, "anchor", "part").sortWithinPartitions("anchor", "part", "piece")
+    return dealt.select("anchor", "words", "piece", "shards", "part", "n").mapInArrow(run, "anchor long, words long, mask long, window binary, n long")
 
 
-def _judge(anchor: int | None, shard: list[tuple[int, bytes, int]], window: int) -> list[tuple]:
+def _judge(of: tuple, shard: list[tuple[int, bytes, int]], window: int) -> list[tuple]:
     if not shard:
         return []
-    masks = repeated_windows([(piece.split(b" "), n) for _, piece, n in shard], window)
-    return [(anchor, words, mask, None, n) for (words, _, n), mask in zip(shard, masks, strict=True) if mask]
+    anchor, shards, _ = of
+    split = [piece.split(b" ") for _, piece, _ in shard]
+    if shards == 1:
+        masks = repeated_windows([(parts, n) for parts, (_, _, n) in zip(split, shard, strict=True)], window)
+        return [(anchor, words, mask, None, n) for (words, _, n), mask in zip(shard, masks, strict=True) if mask]
+    digests = [[hashlib.md5(b" ".join(parts[i : i + window])).digest() for i in range(len(parts) - window + 1)] for parts in split]
+    times: Counter[bytes] = Counter()
+    for found, (_, _, n) in zip(digests, shard, strict=True):
+        for digest in found:
+            times[digest] += n
+    out: list[tuple] = [(None, None, None, digest, n) for digest, n in times.items() if n > 1]
+    for found, (words, _, n) in zip(digests, shard, strict=True):
+        mask = 0
+        for i, digest in enumerate(found):
+            if times[digest] > 1:
+                mask |= 1 << i
+            else:
+                out.append((anchor, words, 1 << i, digest, 1))
+        if mask:
+            out.append((anchor, words, mask, None, n))
+    return out

@@ -95,3 +95,26 @@ def test_clashing_names_and_hot_anchors(spark, monkeypatch):
     got = sorted(sd.without_repeats(df, 10).collect(), key=lambda r: r.doc_id)
     assert [(r.kept_text, r.n_words, r.n_removed) for r in got] == brute(texts, 10)
     assert [tuple(r)[:6] for r in got] == rows
+
+
+def test_near_copies_give_a_window_one_row_a_shard(spark, monkeypatch):
+    """Segments of a crowded anchor settle their windows within shards, not by a row for each segment and window."""
+    monkeypatch.setattr(sd, "SHARD_SEGMENTS", 50)
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(200):
+        words = list(passage)
+        for k in rng.sample(range(60), 2):
+            words[k] = f"e{i}x{k}"
+        texts.append(" ".join(words))
+    judged, most = sd._judged, []
+
+    def spy(*given):
+        out = judged(*given)
+        most.append(out.filter("window IS NOT NULL").groupBy("window").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(sd, "_judged", spy)
+    assert result(spark, texts, 10) == brute(texts, 10)
+    assert 2 <= most[0] <= 4  # 200 segments of an anchor at most, by 50
